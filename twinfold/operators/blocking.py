@@ -272,3 +272,24 @@ def candidate_pairs(
     for more in found[1:]:
         pairs = pairs.unionByName(more)
     return pairs.distinct()
+
+
+def shared_grams(pairs: DataFrame, left: DataFrame, right: DataFrame, schema: MatchSchema, threshold: float) -> DataFrame:
+    """Candidate pairs whose index fields share enough n-grams for ``threshold``, with
+    the number of distinct grams they share."""
+    rule = gram_rule(threshold, schema.ngram)
+    grams = lambda t: F.array_distinct(char_ngrams(t, rule.size))
+
+    def side(rows: DataFrame, n: int) -> DataFrame:
+        return rows.select(F.col("content_id").alias(f"content_{n}"), F.col("t").alias(f"t_{n}"))
+
+    joined = pairs.join(side(left, 1), "content_1").join(side(right, 2), "content_2")
+    sized = joined.withColumns({f"len_{n}": F.length(f"t_{n}") for n in (1, 2)})
+    close = sized.where(F.least("len_1", "len_2") >= F.greatest("len_1", "len_2") * F.lit(threshold) - SLACK)
+    counted = close.withColumns({"_g1": grams("t_1"), "_g2": grams("t_2")}).withColumn(
+        "shared", F.size(F.array_intersect("_g1", "_g2"))
+    )
+    enough = F.col("shared") > 0
+    for n in (1, 2):
+        enough = enough & (F.size(f"_g{n}") - F.col("shared") <= rule.lost(F.col(f"len_{n}")))
+    return counted.where(enough).drop("_g1", "_g2", "len_1", "len_2")

@@ -9,13 +9,14 @@ from twinfold.functions.compare import IGNORED, MATCH, NEEDS_MAX, prepared, scor
 from twinfold.schema import MatchSchema
 
 
-def score_pairs(pairs: DataFrame, schema: MatchSchema) -> DataFrame:
+def score_pairs(pairs: DataFrame, schema: MatchSchema, exact: bool = True) -> DataFrame:
     """Pairs with ``<f>_1``, ``<f>_2`` per field: add similarity, scores, statuses, verdict.
 
-    The similarity is exact for every pair, duplicate or not.
+    The similarity is exact for every pair, duplicate or not; with ``exact=False`` it is
+    0 for a pair no tier can accept, which spares most of the work.
     """
     names = pairs.columns
-    scored = score_fields(prepared(prepared(pairs, schema, "_1"), schema, "_2"), schema, exact=True)
+    scored = score_fields(prepared(prepared(pairs, schema, "_1"), schema, "_2"), schema, exact)
     added = [c for f in schema.compared for c in (f"score_{f.name}", f"status_{f.name}")]
     return scored.select(*names, "similarity", *added, "min_fields", "matched_fields", "duplicate")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from twinfold.functions.text import normalize_text
 
 TOP = 10
 MAX_TEXTS = 1000
+SLICE = 256
 
 
 def similar_field_topk(
@@ -45,18 +47,24 @@ def similar_field_topk(
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: dict[int, pd.DataFrame] = {}
         for batch in batches:
-            norms = batch["norm"].fillna("").tolist()
-            lengths = batch["norm"].fillna("").str.len().to_numpy()
+            norms = batch["norm"].fillna("")
+            lengths = norms.str.len().to_numpy()
             for query, text in queries:
+                # lengths alone bound the similarity: likeliest records first, stop when
+                # no remaining one can beat the k-th kept
+                ceiling = np.minimum(lengths, len(text)) / np.maximum(np.maximum(lengths, len(text)), 1)
+                order = np.argsort(-ceiling, kind="stable")
                 old = kept.get(query)
-                # a record whose length rules out beating the k-th kept one is skipped
-                bar = 0.0 if old is None or len(old) < k else float(old["similarity"].iloc[-1])
-                ceiling = pd.Series(lengths).clip(upper=len(text)) / pd.Series(lengths).clip(lower=max(1, len(text)))
-                at = [i for i, c in enumerate(ceiling) if c >= bar]
-                sims = ngram_similarity([text] * len(at), [norms[i] for i in at], n, bar)
-                fresh = batch.iloc[at][["key", "value"]].assign(query=query, similarity=sims)
-                both = fresh if old is None else pd.concat([old, fresh])
-                kept[query] = both.sort_values(["similarity", "key"], ascending=[False, True]).head(k)
+                for start in range(0, len(order), SLICE):
+                    at = order[start : start + SLICE]
+                    bar = 0.0 if old is None or len(old) < k else float(old["similarity"].iloc[-1])
+                    if ceiling[at[0]] < bar:
+                        break
+                    sims = ngram_similarity([text] * len(at), norms.iloc[at].tolist(), n, bar)
+                    fresh = batch.iloc[at][["key", "value"]].assign(query=query, similarity=sims)
+                    both = fresh if old is None else pd.concat([old, fresh])
+                    old = both.sort_values(["similarity", "key"], ascending=[False, True]).head(k)
+                kept[query] = old
         for rows in kept.values():
             yield rows[["query", "similarity", "key", "value"]]
 

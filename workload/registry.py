@@ -41,7 +41,7 @@ def sql_rec_key(id_: str = "id", db: str = "database") -> str:
 
 
 def sql_bigrams(x: str) -> str:
-    return f"list_distinct([({x})[i:i+1] for i in range(1, length({x}))])"
+    return f"list_distinct(list_concat(regexp_extract_all({x}, '(?s)..'), regexp_extract_all(substr({x}, 2), '(?s)..')))"
 
 
 SQL_CELLS = "string_split_regex(trim(value), ' *\\| *')"
