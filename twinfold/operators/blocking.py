@@ -4,7 +4,13 @@ A pair that reaches tier (t, m) must agree on some set of equality fields (see
 ``MatchSchema.equality_subsets``) and, when t is high enough, share rare n-grams of
 the index field. Blocks on equality fields that stay small are joined as they are.
 Larger ones are split by adding a shared gram to the key, so no record meets its
-whole block. Nothing is capped: every pair a tier could accept survives.
+whole block. Nothing is capped: every pair a tier could accept is either returned or
+implied.
+
+Some blocks need no comparing: records that agree on a *certain* set (see
+``MatchSchema.certain_sets``) are duplicates of each other whatever else they hold. Such
+a group is returned as a star, each member paired with the group's first, and stays
+linear in its size; the other pairs inside it are implied.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from pyspark.sql import functions as F
 from twinfold.functions.similarity import SLACK
 from twinfold.functions.text import char_ngrams
 from twinfold.schema import DENY_DUP, Field, MatchSchema
+from twinfold.session import stage
 
 RANK_BUCKETS = 65536
 RANK_SAMPLE = 1_000_000
@@ -117,9 +124,58 @@ def _payload(schema: MatchSchema) -> list[Column]:
     for f in _denying(schema):
         v = F.col(f"v_{f.name}")
         cols.append(F.when(v != "", F.xxhash64(v)).alias(f"h_{f.name}"))
+    if schema.certain_sets():
+        cols.append(certain_keys(schema).alias("certain"))
     return cols
 
 
+def certain_keys(schema: MatchSchema) -> Column:
+    """Digests of the certain sets a content fills."""
+    keys = []
+    for number, (fields, title) in enumerate(schema.certain_sets()):
+        values = [F.col(f"v_{f.name}") for f in fields]
+        filled = F.col("t") != ""
+        for v in values:
+            filled = filled & (v != "")
+        text = F.concat_ws("\u0002", F.lit(str(number)), *values, *([F.col("t")] if title else []))
+        keys.append(F.when(filled, F.unhex(F.md5(text))))
+    return F.array_compact(F.array(*keys))
+
+
+def _certain_rows(classes: DataFrame, schema: MatchSchema) -> DataFrame:
+    return classes.select(F.explode(certain_keys(schema)).alias("group"), "content_id", "first_key")
+
+
+def _hubs(rows: DataFrame) -> DataFrame:
+    """First content of every group that has several."""
+    return (
+        rows.groupBy("group")
+        .agg(F.min(F.struct("first_key", "content_id")).alias("hub"), F.count("*").alias("n"))
+        .select("group", F.col("hub.content_id").alias("hub"), "n")
+    )
+
+
+def certain_pairs(left: DataFrame, right: DataFrame | None, schema: MatchSchema) -> DataFrame:
+    """Members of each certain group with the group's first content; across two tables,
+    members of either side with the first of the other."""
+    rows = _certain_rows(left, schema)
+    if right is None:
+        hubs = stage(_hubs(rows).where("n > 1"), "hubs")
+        star = rows.join(hubs, "group").where("content_id <> hub")
+        return star.select(
+            F.least("content_id", "hub").alias("content_1"), F.greatest("content_id", "hub").alias("content_2")
+        )
+    others = _certain_rows(right, schema)
+    hubs, other_hubs = stage(_hubs(rows), "hubs"), stage(_hubs(others), "hubs")
+    return (
+        rows.join(other_hubs, "group")
+        .select(F.col("content_id").alias("content_1"), F.col("hub").alias("content_2"))
+        .unionByName(
+            others.join(hubs, "group").select(F.col("hub").alias("content_1"), F.col("content_id").alias("content_2"))
+        )
+    )
+
+
 def _equality_rows(classes: DataFrame, schema: MatchSchema, families: list[Family]) -> DataFrame:
     keys = []
     for fam in families:
@@ -142,7 +198,11 @@ def _equality_rows(classes: DataFrame, schema: MatchSchema, families: list[Famil
 
 
 def _payload_names(schema: MatchSchema) -> list[str]:
-    return ["content_id", "len"] + [f"h_{f.name}" for f in _denying(schema)]
+    return (
+        ["content_id", "len"]
+        + [f"h_{f.name}" for f in _denying(schema)]
+        + (["certain"] if schema.certain_sets() else [])
+    )
 
 
 def _by_family(families: list[Family], value) -> Column:
@@ -190,6 +250,8 @@ def _join_blocks(
     for f in _denying(schema):
         x, y = F.col(f"a.h_{f.name}"), F.col(f"b.h_{f.name}")
         keep = keep & F.coalesce(x == y, F.lit(True))
+    if schema.certain_sets():
+        keep = keep & ~F.arrays_overlap("a.certain", "b.certain")
     if right is None:
         keep = keep & (F.col("a.content_id") < F.col("b.content_id"))
     on = (F.col("a.k") == F.col("b.k")) & (F.col("a.salt") == F.col("b.salt"))
@@ -218,7 +280,7 @@ def candidate_pairs(
     block_limit: int = 64,
     salt_rows: int = 4096,
 ) -> DataFrame:
-    """Distinct (content_1, content_2) that may be duplicates.
+    """Distinct (content_1, content_2) that may be duplicates, certain groups as stars.
 
     ``left`` and ``right`` are content tables (see ``dedup.contents``); ``right=None``
     pairs a table with itself, smaller id first.
@@ -241,7 +303,7 @@ def candidate_pairs(
 
     if keyed:
         rows = [_equality_rows(side, schema, keyed) for side in sides]
-        sizes = _block_sizes(rows[0], rows[1] if right is not None else None)
+        sizes = stage(_block_sizes(rows[0], rows[1] if right is not None else None), "sizes")
         split = F.col("family").isin([f.number for f in splittable]) if splittable else F.lit(False)
         whole = [r.join(sizes, "k").where(~split | (F.col("n") <= block_limit)).drop("n") for r in rows]
         found.append(_join_blocks(whole[0], whole[1] if right is not None else None, sizes, schema, keyed, salt_rows))
@@ -267,7 +329,10 @@ def candidate_pairs(
                 one = one.unionByName(more)
             parts.append(one)
         other = parts[1] if right is not None else None
-        found.append(_join_blocks(parts[0], other, _block_sizes(parts[0], other), schema, families, salt_rows))
+        sizes = stage(_block_sizes(parts[0], other), "sizes")
+        found.append(_join_blocks(parts[0], other, sizes, schema, families, salt_rows))
+    if schema.certain_sets():
+        found.append(certain_pairs(left, right, schema))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)

@@ -42,26 +42,26 @@ def members(df: DataFrame, schema: MatchSchema) -> DataFrame:
     return rows.withColumn("content_id", F.unhex(F.md5(F.concat_ws("\u0002", *values))))
 
 
-def _record(schema: MatchSchema) -> Column:
-    return F.struct("rec_key", *schema.names)
+def _values(schema: MatchSchema) -> list[str]:
+    return ["t"] + [f"v_{f.name}" for f in schema.compared] + [f"g_{f.name}" for f in schema.of_kind("dice")]
+
+
+def comparable_rows(df: DataFrame, schema: MatchSchema) -> DataFrame:
+    """What matching needs of each row; raw fields stay in the input."""
+    return members(df, schema).select("content_id", "rec_key", *_values(schema))
 
 
 def contents(rows: DataFrame, schema: MatchSchema) -> DataFrame:
-    """One row per content: comparable values, first and last record, number of rows."""
-    values = ["t"] + [f"v_{f.name}" for f in schema.compared] + [f"g_{f.name}" for f in schema.of_kind("dice")]
+    """One row per content: comparable values, smallest and largest key, number of rows."""
     return rows.groupBy("content_id").agg(
-        *[F.first(v).alias(v) for v in values],
-        F.min(_record(schema)).alias("first_record"),
-        F.max(_record(schema)).alias("last_record"),
+        *[F.first(v).alias(v) for v in _values(schema)],
+        F.min("rec_key").alias("first_key"),
+        F.max("rec_key").alias("last_key"),
         F.count("*").alias("n_rows"),
     )
 
 
-def _values(schema: MatchSchema) -> list[str]:
-    return ["t"] + [f"v_{f.name}" for f in schema.compared] + [f"g_{f.name}" for f in schema.of_kind("dice")]
-
-
-def _side(side: DataFrame, schema: MatchSchema, suffix: str, names: list[str]) -> DataFrame:
+def _side(side: DataFrame, suffix: str, names: list[str]) -> DataFrame:
     return side.select(
         F.col("content_id").alias(f"content{suffix}"), *[F.col(c).alias(f"{c}{suffix}") for c in names]
     )
@@ -70,9 +70,7 @@ def _side(side: DataFrame, schema: MatchSchema, suffix: str, names: list[str]) -
 def verify_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, schema: MatchSchema) -> DataFrame:
     """Candidate pairs that are duplicates, with similarity, scores and statuses."""
     names = _values(schema)
-    joined = pairs.join(_side(left, schema, "_1", names), "content_1").join(
-        _side(right, schema, "_2", names), "content_2"
-    )
+    joined = pairs.join(_side(left, "_1", names), "content_1").join(_side(right, "_2", names), "content_2")
     possible = equality_statuses(joined, schema).where(still_possible(schema))
     scored = score_fields(possible, schema).where("duplicate")
     return scored.select(
@@ -88,16 +86,18 @@ def verify_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, schema: Ma
 def copies_are_duplicates(schema: MatchSchema) -> Column:
     """Would two rows of this content be duplicates? Similarity is 1, so only the
     number of filled fields decides."""
-    filled = sum((F.when(F.col(f"v_{f.name}") != "", 1).otherwise(0) for f in schema.compared), F.lit(0))
     need = tier_min_fields(schema, F.lit(1.0))
-    return F.coalesce((F.col("t") != "") & (filled >= need), F.lit(False))
+    return F.coalesce((F.col("t") != "") & (_filled(schema) >= need), F.lit(False))
 
 
 @dataclass
 class Duplicates:
-    """Staged result of one check."""
+    """Staged result of one check. ``left`` and ``right`` are content tables, ``*_rows``
+    the comparable rows, ``*_input`` the untouched input; a self check has one side."""
 
     schema: MatchSchema
+    left_input: DataFrame
+    right_input: DataFrame
     left_rows: DataFrame
     right_rows: DataFrame
     left: DataFrame
@@ -113,136 +113,109 @@ def find_duplicates(
     block_limit: int = 64,
 ) -> Duplicates:
     """Check ``batch`` against itself, or against ``index``."""
-    left_rows = members(batch, schema)
-    left = stage(contents(left_rows, schema), "contents")
-    if index is None:
-        candidates = candidate_pairs(left, None, schema, block_limit)
-        pairs = stage(verify_pairs(candidates, left, left, schema), "pairs")
-        return Duplicates(schema, left_rows, left_rows, left, left, pairs, True)
-    right_rows = members(index, schema)
-    right = stage(contents(right_rows, schema), "contents")
-    candidates = candidate_pairs(left, right, schema, block_limit)
+
+    def prepare(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = stage(comparable_rows(df, schema), "rows")
+        return rows, stage(contents(rows, schema), "contents")
+
+    rows, left = prepare(batch)
+    other_rows, right = (rows, left) if index is None else prepare(index)
+    candidates = candidate_pairs(left, None if index is None else right, schema, block_limit)
     pairs = stage(verify_pairs(candidates, left, right, schema), "pairs")
-    return Duplicates(schema, left_rows, right_rows, left, right, pairs, False)
+    return Duplicates(
+        schema, batch, batch if index is None else index, rows, other_rows, left, right, pairs, index is None
+    )
 
 
-def _report_columns(schema: MatchSchema, one: str, two: str) -> list[Column]:
-    out = [F.col(f"{one}.rec_key").alias("rec_key_1"), F.col(f"{two}.rec_key").alias("rec_key_2")]
-    for f in schema.by_pos:
-        out += [F.col(f"{one}.{f.name}").alias(f"{f.name}_1"), F.col(f"{two}.{f.name}").alias(f"{f.name}_2")]
-        if f.kind == "index":
-            out += [F.col("similarity").alias(f"{f.name}_score"), F.lit(MATCH).alias(f"{f.name}_status")]
-        elif f in schema.compared:
-            out += [
-                F.col(f"score_{f.name}").alias(f"{f.name}_score"),
-                F.col(f"status_{f.name}").alias(f"{f.name}_status"),
-            ]
-        else:
-            out += [F.lit(None).cast("double").alias(f"{f.name}_score"), F.lit(NOT_COMPARED).alias(f"{f.name}_status")]
-    return out + [F.col("similarity"), F.col("matched_fields").cast("int").alias("matched_fields")]
+def _scores(schema: MatchSchema) -> list[str]:
+    return ["similarity", "matched_fields"] + [c for f in schema.compared for c in (f"score_{f.name}", f"status_{f.name}")]
+
+
+_ENDS = ["content_1", "key_1", "content_2", "key_2"]
 
 
 def _pair_rows(dups: Duplicates) -> DataFrame:
-    """One row per pair of linked contents, shown by a record of each side."""
-    schema = dups.schema
-    ends = ["first_record", "last_record"]
-    same_first = F.col("first_record_1.rec_key") == F.col("first_record_2.rec_key")
-    shown = (
-        dups.pairs.join(_side(dups.left, schema, "_1", ends), "content_1")
-        .join(_side(dups.right, schema, "_2", ends), "content_2")
-        .withColumns(
-            {
-                "one": F.when(
-                    same_first & (F.col("last_record_2.rec_key") == F.col("first_record_1.rec_key")),
-                    F.col("last_record_1"),
-                ).otherwise(F.col("first_record_1")),
-                "two": F.when(same_first, F.col("last_record_2")).otherwise(F.col("first_record_2")),
-            }
-        )
+    """One row per pair of linked contents, shown by a key of each side."""
+    ends = ["first_key", "last_key"]
+    one, two = F.col("first_key_1"), F.col("first_key_2")
+    shown = dups.pairs.join(_side(dups.left, "_1", ends), "content_1").join(_side(dups.right, "_2", ends), "content_2")
+    shown = shown.withColumns(
+        {
+            "key_1": F.when((one == two) & (F.col("last_key_2") == one), F.col("last_key_1")).otherwise(one),
+            "key_2": F.when(one == two, F.col("last_key_2")).otherwise(two),
+        }
         # contents that only occur under one and the same key are no pair
-        .where("one.rec_key <> two.rec_key")
-    )
+    ).where("key_1 <> key_2")
     if dups.self_check:
-        shown = _smaller_first(shown)
-    return shown.select(*_report_columns(schema, "one", "two"))
+        swap = F.col("key_1") > F.col("key_2")
+        ordered = [F.when(swap, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in zip(_ENDS[2:] + _ENDS[:2], _ENDS)]
+    else:
+        ordered = _ENDS
+    return shown.select(*ordered, *_scores(dups.schema))
 
 
-def _smaller_first(df: DataFrame) -> DataFrame:
-    swap = F.col("one.rec_key") > F.col("two.rec_key")
-    return (
-        df.withColumn("_one", F.when(swap, F.col("two")).otherwise(F.col("one")))
-        .withColumn("two", F.when(swap, F.col("one")).otherwise(F.col("two")))
-        .withColumn("one", F.col("_one"))
-        .drop("_one")
-    )
+def _filled(schema: MatchSchema) -> Column:
+    return sum((F.when(F.col(f"v_{f.name}") != "", 1).otherwise(0) for f in schema.compared), F.lit(0))
 
 
 def _self_copies(dups: Duplicates) -> DataFrame:
     """Contents held by several records that are duplicates of each other."""
     schema = dups.schema
-    filled = sum((F.when(F.col(f"v_{f.name}") != "", 1).otherwise(0) for f in schema.compared), F.lit(0))
-    score = []
+    score = [F.lit(1.0).alias("similarity"), _filled(schema).alias("matched_fields")]
     for f in schema.compared:
         empty = F.col(f"v_{f.name}") == ""
         score.append(F.when(empty, F.lit(0.0)).otherwise(F.lit(1.0)).alias(f"score_{f.name}"))
         score.append(F.when(empty, IGNORED).otherwise(MATCH).alias(f"status_{f.name}"))
-    return dups.left.where(
-        copies_are_duplicates(schema) & (F.col("first_record.rec_key") != F.col("last_record.rec_key"))
-    ).select(
-        "content_id", "first_record", "last_record", *score, F.lit(1.0).alias("similarity"), filled.alias("matched_fields")
-    )
+    several = copies_are_duplicates(schema) & (F.col("first_key") != F.col("last_key"))
+    return dups.left.where(several).select("content_id", "first_key", "last_key", *score)
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.select("content_id", "rec_key").distinct()
 
 
 def _self_copy_rows(dups: Duplicates) -> DataFrame:
-    """Each further record of a content against its first record."""
-    schema = dups.schema
-    rows = dups.left_rows.groupBy("content_id", "rec_key").agg(F.min(_record(schema)).alias("two"))
-    shown = (
-        _self_copies(dups)
-        .withColumnRenamed("first_record", "one")
-        .join(rows, "content_id")
-        .where("one.rec_key <> two.rec_key")
+    """Each further key of a content against its first key."""
+    copies = _self_copies(dups).join(_keys(dups.left_rows), "content_id").where("first_key <> rec_key")
+    return copies.select(
+        F.col("content_id").alias("content_1"), F.col("first_key").alias("key_1"),
+        F.col("content_id").alias("content_2"), F.col("rec_key").alias("key_2"), *_scores(dups.schema)
     )
-    return shown.select(*_report_columns(schema, "one", "two"))
 
 
 def _index_copy_rows(dups: Duplicates, side: str) -> DataFrame:
-    """Each further record of a linked content against the first partner of that content."""
-    schema = dups.schema
-    own, other = ("content_1", "content_2") if side == "left" else ("content_2", "content_1")
+    """Each further key of a linked content against the first partner of that content."""
+    own, other = ("1", "2") if side == "left" else ("2", "1")
     near, far = (dups.left, dups.right) if side == "left" else (dups.right, dups.left)
     rows = dups.left_rows if side == "left" else dups.right_rows
-    ends = far.select(F.col("content_id").alias(other), "first_record", "last_record")
-    kept = [c for c in dups.pairs.columns if c not in (own, other)]
+    scores = _scores(dups.schema)
+    ends = far.select(F.col("content_id").alias("partner"), "first_key", "last_key")
+    several = near.where("first_key <> last_key").select("content_id", F.col("first_key").alias("shown"))
+    linked = dups.pairs.select(
+        F.col(f"content_{own}").alias("content_id"), F.col(f"content_{other}").alias("partner"), *scores
+    ).join(several, "content_id")
     best = (
-        dups.pairs.join(ends, other)
-        .groupBy(F.col(own).alias("content_id"))
-        .agg(
-            F.min_by(
-                F.struct("first_record", "last_record", *kept), F.struct("first_record.rec_key", F.col(other))
-            ).alias("p")
-        )
-        .select("content_id", "p.*")
-    )
-    several = near.where("first_record.rec_key <> last_record.rec_key").select(
-        "content_id", F.col("first_record.rec_key").alias("shown")
-    )
-    copies = rows.groupBy("content_id", "rec_key").agg(F.min(_record(schema)).alias("copy"))
-    joined = best.join(several, "content_id").join(copies, "content_id").where("rec_key <> shown")
-    partner = F.when(F.col("first_record.rec_key") == F.col("rec_key"), F.col("last_record")).otherwise(
-        F.col("first_record")
+        linked.join(ends, "partner")
+        .groupBy("content_id", "shown")
+        .agg(F.min_by(F.struct("partner", "first_key", "last_key", *scores), F.struct("first_key", "partner")).alias("p"))
+        .select("content_id", "shown", "p.*")
     )
-    names = ("copy", "partner") if side == "left" else ("partner", "copy")
+    copies = best.join(_keys(rows), "content_id").where("rec_key <> shown")
+    key = F.when(F.col("first_key") == F.col("rec_key"), F.col("last_key")).otherwise(F.col("first_key"))
     return (
-        joined.withColumn("partner", partner)
-        .where("partner.rec_key <> copy.rec_key")
-        .select(*_report_columns(schema, *names))
+        copies.withColumn("key", key)
+        .where("key <> rec_key")
+        .select(
+            F.col("content_id").alias(f"content_{own}"), F.col("rec_key").alias(f"key_{own}"),
+            F.col("partner").alias(f"content_{other}"), F.col("key").alias(f"key_{other}"), *scores
+        )
+        .select(*_ENDS, *scores)
     )
 
 
-def duplicate_report(dups: Duplicates) -> DataFrame:
-    """Report rows: per field both values, score and status; then similarity and
-    number of matched fields. Every record that has a duplicate appears."""
+def linked_keys(dups: Duplicates) -> DataFrame:
+    """The factored result: one row per pair of linked contents and one per further
+    copy, as contents, keys and scores. Every record that has a duplicate appears."""
     if dups.self_check:
         return _pair_rows(dups).unionByName(_self_copy_rows(dups))
     return (
@@ -252,16 +225,46 @@ def duplicate_report(dups: Duplicates) -> DataFrame:
     )
 
 
+def _raw_records(df: DataFrame, schema: MatchSchema, keys: DataFrame, n: int) -> DataFrame:
+    """Raw fields of the shown keys; only their rows are normalised again."""
+    shown = with_key(df, schema).join(keys, "rec_key", "left_semi")
+    return (
+        members(shown, schema)
+        .groupBy(F.col("content_id").alias(f"content_{n}"), F.col("rec_key").alias(f"key_{n}"))
+        .agg(F.min(F.struct(*schema.names)).alias(f"record_{n}"))
+    )
+
+
+def duplicate_report(dups: Duplicates) -> DataFrame:
+    """Report rows: per field both values, score and status; then similarity and
+    number of matched fields."""
+    schema = dups.schema
+    links = stage(linked_keys(dups), "links")
+    keys = [links.select(F.col(f"key_{n}").alias("rec_key")) for n in (1, 2)]
+    if dups.self_check:
+        keys = [keys[0].unionByName(keys[1])] * 2
+    one = _raw_records(dups.left_input, schema, keys[0], 1)
+    two = _raw_records(dups.right_input, schema, keys[1], 2)
+    shown = links.join(one, ["content_1", "key_1"]).join(two, ["content_2", "key_2"])
+    out = [F.col("key_1").alias("rec_key_1"), F.col("key_2").alias("rec_key_2")]
+    for f in schema.by_pos:
+        out += [F.col(f"record_{n}.{f.name}").alias(f"{f.name}_{n}") for n in (1, 2)]
+        if f.kind == "index":
+            score, status = F.col("similarity"), F.lit(MATCH)
+        elif f in schema.compared:
+            score, status = F.col(f"score_{f.name}"), F.col(f"status_{f.name}")
+        else:
+            score, status = F.lit(None).cast("double"), F.lit(NOT_COMPARED)
+        out += [score.alias(f"{f.name}_score"), status.alias(f"{f.name}_status")]
+    return shown.select(*out, "similarity", F.col("matched_fields").cast("int").alias("matched_fields"))
+
+
 def _reach(dups: Duplicates, side: str) -> DataFrame:
     """Per content of one side, the smallest and largest key among its partners."""
     own, other = ("content_1", "content_2") if side == "left" else ("content_2", "content_1")
     partners = dups.right if side == "left" else dups.left
-    ends = partners.select(
-        F.col("content_id").alias(other),
-        F.col("first_record.rec_key").alias("low"),
-        F.col("last_record.rec_key").alias("high"),
-    )
-    return dups.pairs.join(ends, other).select(F.col(own).alias("content_id"), "low", "high")
+    ends = partners.select(F.col("content_id").alias(other), F.col("first_key").alias("low"), F.col("last_key").alias("high"))
+    return dups.pairs.select(own, other).join(ends, other).select(F.col(own).alias("content_id"), "low", "high")
 
 
 def duplicate_keys(dups: Duplicates) -> DataFrame:
@@ -271,12 +274,10 @@ def duplicate_keys(dups: Duplicates) -> DataFrame:
     for side, rows in jobs[:1] if dups.self_check else jobs:
         reach = _reach(dups, side)
         if dups.self_check:
-            reach = reach.unionByName(_reach(dups, "right")).unionByName(
-                _self_copies(dups).select(
-                    "content_id", F.col("first_record.rec_key").alias("low"), F.col("last_record.rec_key").alias("high")
-                )
-            )
+            own = _self_copies(dups).select("content_id", F.col("first_key").alias("low"), F.col("last_key").alias("high"))
+            reach = reach.unionByName(_reach(dups, "right")).unionByName(own)
         spans = reach.groupBy("content_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        # a record is a duplicate when some partner has another key
         keys = (
             rows.select("content_id", "rec_key")
             .join(spans, "content_id")
@@ -290,8 +291,8 @@ def duplicate_keys(dups: Duplicates) -> DataFrame:
 def expand_pairs(dups: Duplicates) -> DataFrame:
     """Every pair of record keys the factored result stands for. The output holds one
     row per pair, so a content with many copies makes it large by nature."""
-    left = dups.left_rows.select(F.col("content_id").alias("content_1"), F.col("rec_key").alias("a")).distinct()
-    right = dups.right_rows.select(F.col("content_id").alias("content_2"), F.col("rec_key").alias("b")).distinct()
+    left = _keys(dups.left_rows).select(F.col("content_id").alias("content_1"), F.col("rec_key").alias("a"))
+    right = _keys(dups.right_rows).select(F.col("content_id").alias("content_2"), F.col("rec_key").alias("b"))
     linked = dups.pairs.select("content_1", "content_2")
     if dups.self_check:
         same = _self_copies(dups).select(F.col("content_id").alias("content_1"), F.col("content_id").alias("content_2"))

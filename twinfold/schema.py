@@ -136,6 +136,30 @@ class MatchSchema:
             return []
         return list(combinations(self.equality, needed))
 
+    def certain_sets(self) -> list[tuple[tuple[Field, ...], bool]]:
+        """Equality field sets that make any two records with equal, filled values in
+        them duplicates, whatever else they hold; the flag says whether the index field
+        has to be equal too.
+        """
+        deny = [f for f in self.compared if f.match == DENY_DUP]
+        if any(f not in self.equality for f in deny):
+            return []
+        out = []
+        reached = [t for t in self.ordered_tiers if t.min_value <= 1.0]
+        if reached:
+            out += [(s, True) for s in self._sets_with(deny, reached[0].min_fields)]
+        if self.floor <= 0:
+            strict = [f for f in self.compared if f.match in (DENY_DUP, MAX_SCORE)]
+            if all(f in self.equality for f in strict):
+                need = max(t.min_fields for t in self.tiers)
+                out += [(s, False) for s in self._sets_with(strict, need) if s]
+        return out
+
+    def _sets_with(self, must: list[Field], size: int) -> list[tuple[Field, ...]]:
+        rest = [f for f in self.equality if f not in must]
+        more = max(0, size - len(must))
+        return [(*must, *extra) for extra in combinations(rest, more)]
+
 
 def _field(kind: str, attrs: dict, default_name: str) -> Field:
     return Field(

@@ -89,13 +89,22 @@ _SHOWN_SQL = """rec_key_1, rec_key_2, title_1, title_2, sj AS journal_status, sy
 # contents: one row per comparable content, shown by its smallest key
 _CONTENT = """SELECT min(rec_key) AS rec_key, max(rec_key) AS last_key, arg_min(title, rec_key) AS title,
     t, vj, vy, vp, ab, any_value(g) AS g FROM {}_p GROUP BY t, vj, vy, vp, ab"""
+# records equal in title, year and one more of journal or page are certain duplicates: each is shown with the first such
+# record only
+_SAME_JY = "(a.vj = b.vj AND a.vj <> '' AND a.vy = b.vy AND a.vy <> '')"
+_SAME_YP = "(a.vp = b.vp AND a.vp <> '' AND a.vy = b.vy AND a.vy <> '')"
+_FIRST_JY = "min(rec_key) FILTER (vj <> '' AND vy <> '') OVER (PARTITION BY t, vj, vy)"
+_FIRST_YP = "min(rec_key) FILTER (vp <> '' AND vy <> '') OVER (PARTITION BY t, vp, vy)"
 _SELF_REPORT = f"""
-    SELECT {_SHOWN_SQL} FROM {_sql_scored('rec_c', 'rec_c', 'a.t = b.t AND a.rec_key < b.rec_key')} WHERE {_DUP}
+    SELECT {_SHOWN_SQL} FROM {_sql_scored('rec_c', 'rec_c',
+        f"""a.t = b.t AND a.rec_key < b.rec_key AND (NOT ({_SAME_JY} OR {_SAME_YP})
+            OR ({_SAME_JY} AND a.rec_key = b.first_jy) OR ({_SAME_YP} AND a.rec_key = b.first_yp))""")} WHERE {_DUP}
     UNION ALL
     SELECT {_SHOWN_SQL} FROM {_sql_scored('rec_c', 'rec_p',
         'a.t = b.t AND a.vj = b.vj AND a.vy = b.vy AND a.vp = b.vp AND a.ab = b.ab AND a.rec_key < b.rec_key')}
     WHERE {_DUP}"""
-_REC_PREP = f"WITH {_sql_prep('rec')}, rec_c AS ({_CONTENT.format('rec')})"
+_REC_PREP = f"""WITH {_sql_prep('rec')}, rec_c AS MATERIALIZED (
+    SELECT *, {_FIRST_JY} AS first_jy, {_FIRST_YP} AS first_yp FROM ({_CONTENT.format('rec')}))"""
 
 
 def _dup_keys_sql(pairs: str) -> str:
@@ -140,14 +149,14 @@ def _sql_candidates(left: str, right: str, extra: str) -> str:
 
 
 def _contents(df, schema):
-    return stage(dedup.contents(dedup.members(df, schema), schema), "contents")
+    return stage(dedup.contents(dedup.comparable_rows(df, schema), schema), "contents")
 
 
 def _shared(left, right, schema):
     pairs = blocking.candidate_pairs(left, None if right is left else right, schema)
     found = blocking.shared_grams(pairs, left, right, schema, 0.9)
-    one = left.select(F.col("content_id").alias("content_1"), F.col("first_record.rec_key").alias("rec_key_1"))
-    two = right.select(F.col("content_id").alias("content_2"), F.col("first_record.rec_key").alias("rec_key_2"))
+    one = left.select(F.col("content_id").alias("content_1"), F.col("first_key").alias("rec_key_1"))
+    two = right.select(F.col("content_id").alias("content_2"), F.col("first_key").alias("rec_key_2"))
     return found.join(one, "content_1").join(two, "content_2").select("rec_key_1", "rec_key_2", "shared")
 
 
@@ -179,12 +188,24 @@ def _(spark, sf):
     return _shared(_contents(_pages(spark, sf), TITLES), _contents(_rec(spark, sf), TITLES), TITLES)
 
 
-_TWO_EQUAL = """a.rec_key < b.rec_key AND ((a.vj = b.vj AND a.vy = b.vy AND a.vj <> '' AND a.vy <> '')
-    OR (a.vj = b.vj AND a.vp = b.vp AND a.vj <> '' AND a.vp <> '') OR (a.vy = b.vy AND a.vp = b.vp AND a.vy <> '' AND a.vp <> ''))"""
+def _same(*names: str) -> str:
+    return " AND ".join(f"a.{n} = b.{n} AND a.{n} <> ''" for n in names)
+
+
+def _first_of(*names: str) -> str:
+    filled = " AND ".join(f"{n} <> ''" for n in names)
+    return f"min(rec_key) FILTER ({filled}) OVER (PARTITION BY t, {', '.join(names)}) AS first_{''.join(names)}"
+
+
+_TWO = [("vj", "vy"), ("vj", "vp"), ("vy", "vp")]
+_TWO_EQUAL = "a.rec_key < b.rec_key AND (" + " OR ".join(
+    f"({_same(*two)} AND (a.t <> b.t OR a.rec_key = b.first_{''.join(two)}))" for two in _TWO) + ")"
 
 
 @query("J06_candidates_equality", with_views(
-    f"WITH {_sql_titles('rec', ', vj, vy, vp')} {_sql_candidates('rec', 'rec', _TWO_EQUAL)}", "rec"))
+    f"WITH {_sql_titles('rec', ', vj, vy, vp').replace('rec_t AS', 'all_t AS')}, "
+    f"rec_t AS (SELECT *, {', '.join(_first_of(*two) for two in _TWO)} FROM all_t) "
+    f"{_sql_candidates('rec', 'rec', _TWO_EQUAL)}", "rec"))
 def _(spark, sf):
     left = _contents(_rec(spark, sf), EQUALITIES)
     return _ordered(_shared(left, left, EQUALITIES))

@@ -15,7 +15,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # string comparison is heavy per byte: keep small shuffles spread over the cores
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -141,8 +141,16 @@ VIEWS = {
 }
 
 
+# texts are heavy per row: a file read by one task is spread over all cores
+SPREAD = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD and df.rdd.getNumPartitions() < min(cores, 64):
+        return df.repartition(cores)
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
