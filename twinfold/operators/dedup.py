@@ -32,14 +32,17 @@ from twinfold.session import stage
 def with_key(df: DataFrame, schema: MatchSchema) -> DataFrame:
     if "rec_key" in df.columns:
         return df
-    return df.withColumn("rec_key", record_key(schema.id_field.name, schema.database_field.name))
+    key = record_key(schema.id_field.name, schema.database_field.name)
+    # never null, so joins on it add no null test that would compute the key again
+    return df.withColumn("rec_key", F.coalesce(key, F.lit("")))
 
 
 def members(df: DataFrame, schema: MatchSchema) -> DataFrame:
     """Input rows with rec_key, comparable values and the id of their content."""
     rows = prepared(with_key(df, schema), schema)
     values = [F.col("t")] + [F.col(f"v_{f.name}") for f in schema.compared]
-    return rows.withColumn("content_id", F.unhex(F.md5(F.concat_ws("\u0002", *values))))
+    digest = F.unhex(F.md5(F.concat_ws("\u0002", *values)))
+    return rows.withColumn("content_id", F.coalesce(digest, F.lit(b"")))
 
 
 def _values(schema: MatchSchema) -> list[str]:
