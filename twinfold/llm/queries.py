@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import repeats
+from twinfold.llm import chat, mixing, repeats, urls
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_cube_mix")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"), "doc_id")
+    taken = F.col("size") * F.col("copies")
+    return mixed.select(
+        F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), "source", "copies"
+    )
+
+
+@query("op5_host_trust")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_pages(table(spark, sf_dir, "pages"), "page_id")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 @query("op6_repeated_strings")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.remove_repeats(pick(table(spark, sf_dir, "documents"), "doc_id", "text"), with_text=False)
@@ -35,3 +50,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+#: The conversation that op10 adds: both texts are made of control strings.
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op10_chat_examples")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_TURNS, turns.schema)
+    return chat.read_back(chat.format_chats(turns.union(more)))
