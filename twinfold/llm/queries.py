@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import chat, mixing, repeats, urls
+from twinfold.llm import chat, fuzzyhash, mixing, repeats, urls
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_piecewise_hash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fuzzyhash.compare_with_next(table(spark, sf_dir, "documents"), "doc_id")
+    return prints.select("doc.doc_id", *[c for c in prints.columns if c != "doc"])
+
+
 @query("op5_host_trust")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_pages(table(spark, sf_dir, "pages"), "page_id")
