@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import chat, fuzzyhash, mixing, repeats, urls
+from twinfold.llm import chat, fuzzyhash, mixing, packing, pieces, repeats, urls
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_sentence_pieces")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
+    encoded = pieces.encode_documents(docs.select(F.struct("doc_id").alias("doc"), "text"), with_text=False)
+    return encoded.select("doc.doc_id", "n_tokens", "ids", "exact", "parity")
+
+
+@query("op8_packed_rows")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return packed.withColumns({c: F.sha2(c, 256) for c in ("ids", "positions")})
+
+
 #: The conversation that op10 adds: both texts are made of control strings.
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
