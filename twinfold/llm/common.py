@@ -165,6 +165,9 @@ class Rolling:
             i = j
         return out
 
+    def windows_between(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.windows(data, starts, ends - starts)
+
 
 def batches(rows: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches with about ``size`` bytes each."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import chat, fuzzyhash, mixing, packing, pieces, repeats, urls
+from twinfold.llm import chat, fuzzyhash, minhash, mixing, packing, pieces, repeats, urls
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_lsh_forest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = minhash.link_documents(table(spark, sf_dir, "documents"), "doc_id")
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op4_piecewise_hash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fuzzyhash.compare_with_next(table(spark, sf_dir, "documents"), "doc_id")
