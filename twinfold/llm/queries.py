@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import chat, fuzzyhash, minhash, mixing, packing, pieces, repeats, urls
+from twinfold.llm import chat, fuzzyhash, minhash, mixing, packing, pieces, repeats, urls, vectors
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumns({c: F.sha2(c, 256) for c in ("ids", "positions")})
 
 
+@query("op9_neighbour_descent")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+
+
 #: The conversation that op10 adds: both texts are made of control strings.
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
