@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import chat, fuzzyhash, minhash, mixing, packing, pieces, repeats, urls, vectors
+from twinfold.llm import chat, fuzzyhash, minhash, mixing, packing, pieces, repeats, toxicity, urls, vectors
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_clause_grammar")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_documents(docs, labels, "doc_id")
+
+
 @query("op3_lsh_forest")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = minhash.link_documents(table(spark, sf_dir, "documents"), "doc_id")
