@@ -14,16 +14,17 @@ a round finds no link.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from twinfold.llm.common import Bytes, Rolling, batches, mixed, parts, pick, stage, stage_by
+from twinfold.llm.common import Bytes, Rolling, batches, mixed, pick, stage, stage_by
 from twinfold.llm.graph import components
 
 WORDS = 5
@@ -31,11 +32,12 @@ WORDS = 5
 ALIKE = 85
 VALUES = 64
 TREES = 16
+#: Values that a region agrees on at least, and the step from tree to tree.
 DEPTH = 4
 DEPTHS = (8, 16, 32, 64)
 REGION = 64
-#: A pair is confirmed if this share of its MinHash values agrees: five standard errors below the threshold.
-LIKELY = 0.625
+#: Pairs are confirmed if their share of agreeing MinHash values is at most so many standard errors below the threshold.
+ERRORS = 5
 #: Pairs with this share count as linked until they are confirmed, which spares the tree other pairs between them.
 SURE = 0.92
 PIVOTS = 8
@@ -124,16 +126,30 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, VALUES)
 
 
+@dataclass(frozen=True)
+class Forest:
+    """Threshold in hundredths, and the depth at which its regions begin."""
+
+    alike: int = ALIKE
+    depth: int = DEPTH
+
+    @property
+    def likely(self) -> int:
+        """Agreeing values that a pair needs to be confirmed."""
+        share = self.alike / 100
+        return math.floor((share - ERRORS * math.sqrt(share * (1 - share) / VALUES)) * VALUES)
+
+
 def _prefix(tree, depth: int):
     """Key of a region: tree and first ``depth`` values of its order."""
     twice = F.concat("sign", "sign")
     return F.xxhash64(tree, F.lit(depth), twice.substr(tree * (4 * DEPTH) + 1, F.lit(4 * depth)))
 
 
-def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Regions of at most ``REGION`` classes (key, id), and those of ``DEPTH`` that are larger (key, id, sign)."""
+def _regions(classes: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
+    """Regions of at most ``REGION`` classes (key, id), and those of the first depth that are larger (key, id, sign)."""
     keys = classes.select("id", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sign")
-    keys = keys.select("id", "tree", _prefix(F.col("tree"), DEPTH).alias("key"))
+    keys = keys.select("id", "tree", _prefix(F.col("tree"), start).alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     rows = stage(keys.join(sizes, "key"), "regions")
     large = rows.filter(F.col("n") > REGION)
@@ -156,13 +172,13 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return regions, wide
 
 
-def _spanning(ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set]) -> list[tuple[int, int]]:
+def _spanning(ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set], likely: int) -> list[tuple[int, int]]:
     """Pairs of a region to confirm: to its central class, and of a spanning tree by estimated similarity."""
     n = len(ids)
     agree = np.zeros((n, n), np.int32)
     for i in range(n):
         agree[i] = (signs == signs[i]).sum(axis=1)
-    open_ = (group[:, None] != group[None, :]) & (agree >= LIKELY * VALUES)
+    open_ = (group[:, None] != group[None, :]) & (agree >= likely)
     for i, partners in enumerate(failed):
         if partners:
             hit = [j for j in range(n) if ids[j] in partners]
@@ -192,21 +208,25 @@ def _spanning(ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: lis
     return [(i, j) for i, j in pairs]
 
 
-def _search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows, 4 << 20):
-        found = []
-        for region in batch.column("rows").to_pylist():
-            if len({r["group"] for r in region}) < 2:
-                continue
-            region.sort(key=lambda r: r["id"])
-            ids = np.array([r["id"] for r in region])
-            signs = np.frombuffer(b"".join(r["sign"] for r in region), "<u4").reshape(-1, VALUES)
-            group = np.array([r["group"] for r in region])
-            failed = [set(r["failed"] or ()) for r in region]
-            found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed)]
-        if found:
-            hub, other = zip(*found)
-            yield pa.RecordBatch.from_arrays([pa.array(hub, pa.int64()), pa.array(other, pa.int64())], ["hub", "other"])
+def _search(likely: int):
+    def search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, 4 << 20):
+            found = []
+            for region in batch.column("rows").to_pylist():
+                if len({r["group"] for r in region}) < 2:
+                    continue
+                region.sort(key=lambda r: r["id"])
+                ids = np.array([r["id"] for r in region])
+                signs = np.frombuffer(b"".join(r["sign"] for r in region), "<u4").reshape(-1, VALUES)
+                group = np.array([r["group"] for r in region])
+                failed = [set(r["failed"] or ()) for r in region]
+                found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed, likely)]
+            if found:
+                hub, other = zip(*found)
+                pairs = [pa.array(hub, pa.int64()), pa.array(other, pa.int64())]
+                yield pa.RecordBatch.from_arrays(pairs, ["hub", "other"])
+
+    return search
 
 
 def _central(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,14 +245,17 @@ def _central(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _near_hub(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows, 8 << 20):
-        near = (_matrix(batch.column("sign")) == _matrix(batch.column("hub_sign"))).sum(axis=1) >= LIKELY * VALUES
-        keep = pa.array(np.nonzero(near)[0])
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("hub", "other")], ["hub", "other"])
+def _near_hub(likely: int):
+    def near_hub(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, 8 << 20):
+            near = (_matrix(batch.column("sign")) == _matrix(batch.column("hub_sign"))).sum(axis=1) >= likely
+            keep = pa.array(np.nonzero(near)[0])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("hub", "other")], ["hub", "other"])
 
+    return near_hub
 
-def _hub_pairs(wide: DataFrame) -> DataFrame:
+
+def _hub_pairs(wide: DataFrame, likely: int) -> DataFrame:
     """Pairs of the classes of large regions with the most central one of each."""
     some = wide.groupBy("key", F.expr(f"pmod(xxhash64(id), {PIVOTS})").alias("part")).agg(F.max_by("sign", "id").alias("sign"))
     pivots = some.groupBy("key").agg(F.collect_list("sign").alias("pivots"))
@@ -241,7 +264,7 @@ def _hub_pairs(wide: DataFrame) -> DataFrame:
     hubs = near.groupBy("key").agg(F.max_by(F.struct("id", "sign"), F.struct("near", "id")).alias("top"))
     hubs = hubs.select("key", F.col("top.id").alias("hub"), F.col("top.sign").alias("hub_sign"))
     both = near.join(hubs, "key").filter("id <> hub").select("hub", "hub_sign", F.col("id").alias("other"), "sign")
-    return both.mapInArrow(_near_hub, "hub long, other long")
+    return both.mapInArrow(_near_hub(likely), "hub long, other long")
 
 
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,23 +283,26 @@ def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def alike(a: np.ndarray, b: np.ndarray) -> bool:
+def alike(a: np.ndarray, b: np.ndarray, least: int) -> bool:
     """Whether two sorted sets reach the threshold."""
-    if 100 * min(len(a), len(b)) < ALIKE * max(len(a), len(b)):
+    if 100 * min(len(a), len(b)) < least * max(len(a), len(b)):
         return False
     both = np.concatenate([a, b])
     both.sort()
     common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= ALIKE * (len(a) + len(b) - common)
+    return 100 * common >= least * (len(a) + len(b) - common)
+
 
+def _confirm(least: int):
+    def confirm(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        items = {i: np.frombuffer(x, "<u8") for i, x in zip(sets["id"], sets["items"])}
+        linked = [alike(items[a], items[b], least) for a, b in zip(pairs["hub"], pairs["other"])]
+        return pairs.assign(linked=linked)[["hub", "other", "linked"]]
 
-def _confirm(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-    items = {i: np.frombuffer(x, "<u8") for i, x in zip(sets["id"], sets["items"])}
-    linked = [alike(items[a], items[b]) for a, b in zip(pairs["hub"], pairs["other"])]
-    return pairs.assign(linked=linked)[["hub", "other", "linked"]]
+    return confirm
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     """Compare the full sets of ``pairs`` (hub, other): adds linked.
 
     Sets travel to chunks of pairs. A pair goes to the chunk of its least neighbour two steps away, so the sets of a
@@ -297,10 +323,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFr
     sets = texts.join(ends.hint("shuffle_hash"), "row").select("text", "id", "chunks")
     sets = sets.mapInArrow(_sets, "chunk long, id long, items binary")
     found = placed.groupBy("chunk").cogroup(sets.groupBy("chunk"))
-    return stage(found.applyInPandas(_confirm, "hub long, other long, linked boolean"), "confirmed")
+    return stage(found.applyInPandas(_confirm(least), "hub long, other long, linked boolean"), "confirmed")
 
 
-def near_duplicates(texts: DataFrame) -> DataFrame:
+def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """(row, n_shingles, component) of staged ``texts`` (row, text): the component is the least row of its group.
 
     A text without words has no shingles and is a component of its own.
@@ -311,13 +337,13 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
     some = sketch.filter("n_shingles > 0").select(id_, "row", "sign")
     classes = some.groupBy("id").agg(F.min("row").alias("row"), F.max("sign").alias("sign"))
     classes = stage(classes, "classes")
-    regions, wide = _regions(classes)
+    regions, wide = _regions(classes, forest.depth)
     # many trees have the same region: one is enough
     sets = regions.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids").distinct()
     sets = stage(sets.select(F.monotonically_increasing_id().alias("region"), "ids"), "sets")
     members = sets.select("region", F.explode("ids").alias("id")).join(classes.select("id", "sign"), "id")
     groups = failed = links = None
-    more = None if wide.isEmpty() else _hub_pairs(wide)
+    more = None if wide.isEmpty() else _hub_pairs(wide, forest.likely)
     while True:
         rows = members
         if groups is None:
@@ -327,7 +353,7 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
             rows = rows.withColumn("group", F.coalesce("component", "id")).drop("component")
             rows = rows.join(failed, "id", "left")
         rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed")).alias("rows"))
-        pairs = rows.select("rows").mapInArrow(_search, "hub long, other long")
+        pairs = rows.select("rows").mapInArrow(_search(forest.likely), "hub long, other long")
         pairs = pairs if more is None else pairs.union(more)
         least, most = F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
         pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
@@ -335,7 +361,7 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
         pairs, more = stage(pairs, "pairs"), None
         if pairs.isEmpty():
             break
-        tried = _confirmed(pairs, texts, classes)
+        tried = _confirmed(pairs, texts, classes, forest.alike)
         new = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
         if new.isEmpty():
             break
@@ -354,7 +380,7 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
     return whole.select("row", "n_shingles", "group")
 
 
-def link_documents(docs: DataFrame, *keep: str) -> DataFrame:
+def link_documents(docs: DataFrame, *keep: str, forest: Forest = Forest()) -> DataFrame:
     """Shingle count and component of each row of ``docs`` (doc_id, text and the columns ``keep``).
 
     Returns ``keep``, n_shingles, component_id (least doc_id that links lead to, its own included; null ids are passed
@@ -366,7 +392,7 @@ def link_documents(docs: DataFrame, *keep: str) -> DataFrame:
     other = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)] or [F.lit("").alias("none")])
     row = F.monotonically_increasing_id().alias("row")
     texts = stage_by(rows.select(row, F.col("doc_id").alias("doc"), "text", other.alias("other")), "row", "texts")
-    found = stage(near_duplicates(texts), "found")
+    found = stage(near_duplicates(texts, forest), "found")
     both = texts.join(found, "row")
     firsts = both.select("row", "doc", "group").filter("group is not null").groupBy("group").agg(
         F.min("doc").alias("least"), F.min(F.struct(F.col("doc").isNull(), "doc", "row"))["row"].alias("head")

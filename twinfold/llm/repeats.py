@@ -227,7 +227,8 @@ def _remove(with_text: bool):
                 "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
             }
             if with_text:
-                columns["kept"] = pa.array(kept, pa.binary())
+                # a character whose bytes were cut in the middle goes with the rest of it
+                columns["text"] = pa.array([x.decode(errors="ignore") for x in kept], pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return remove
@@ -238,7 +239,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     Returns one row for each row of ``docs``: struct ``doc`` (its other columns, in order, as c0, c1, ... by their
     place), ``n_bytes``, ``spans`` (removed stretches: first byte, byte after the last), ``kept_sha256`` and, if
-    wanted, ``kept`` (the bytes left). Null and empty texts and those under ``LENGTH`` bytes lose nothing; equal rows
+    wanted, ``text`` (the bytes left, without characters of which a part was removed). Null and empty texts and those under ``LENGTH`` bytes lose nothing; equal rows
     remove each other; an empty table gives none. Every copy of a repeated string goes, the first as well.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -250,6 +251,6 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     runs = repeated_runs(texts.select("row", "text"))
     lists = runs.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     both = texts.join(lists.hint("shuffle_hash"), "row", "left").select("text", "doc", "runs")
-    left = T.StructType.fromDDL(_LEFT + (", kept binary" if with_text else "")).fields
+    left = T.StructType.fromDDL(_LEFT + (", text string" if with_text else "")).fields
     kind = T.StructType([both.schema["doc"], *left])
     return both.mapInArrow(_remove(with_text), kind)
