@@ -20,7 +20,7 @@ DENIED, IGNORED, NOT_COMPARED = "DENIED", "IGNORED", "NOT_COMPARED"
 
 def title_text(schema: MatchSchema, raw: Column | None = None) -> Column:
     raw = F.col(schema.index_field.name) if raw is None else raw
-    return F.coalesce(normalize_text(raw, schema.max_text_size), F.lit(""))
+    return F.coalesce(normalize_text(raw), F.lit(""))
 
 
 def first_author(raw: Column) -> Column:

@@ -61,11 +61,10 @@ def record_key(id_: Column | str, database: Column | str) -> Column:
     return normalize_key(F.concat(F.substring_index(_col(id_), "^", 1), _col(database)))
 
 
-def normalize_text(s: Column | str, max_size: int | None = None) -> Column:
+def normalize_text(s: Column | str) -> Column:
     """Lower-case, fold accents, turn each run of other characters into one space."""
     unmarked = F.regexp_replace(fold(s), r"\p{M}+", "")
-    text = F.trim(F.regexp_replace(unmarked, r"[^\p{L}\p{N}]+", " "))
-    return text if max_size is None else F.trim(F.substring(text, 1, max_size))
+    return F.trim(F.regexp_replace(unmarked, r"[^\p{L}\p{N}]+", " "))
 
 
 def cell_text(s: Column | str) -> Column:
@@ -213,7 +212,9 @@ def clean_query(s: Column | str) -> Column:
     def unescape(texts: pd.Series) -> pd.Series:
         return texts.map(_unescape, na_action="ignore")
 
-    return trim_control(F.translate(unescape(_col(s)), ":", " "))
+    text = _col(s)
+    resolved = F.when(F.contains(text, F.lit("&")), unescape(text)).otherwise(text)
+    return trim_control(F.translate(resolved, ":", " "))
 
 
 # Tasks get these helpers by value, so executors need no copy of the package.

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.functions.compare import IGNORED, MATCH, NEEDS_MAX, prepared, score_fields
+from twinfold.functions.compare import DENIED, NEEDS_MAX, prepared, score_fields
 from twinfold.schema import MatchSchema
 
 
@@ -28,66 +28,44 @@ def pair_up(requests: DataFrame, docs: DataFrame, records: DataFrame, schema: Ma
     return requests.join(one, "key_1").join(two, "key_2")
 
 
-def _fields_text(title: str, schema: MatchSchema, suffix: str) -> list[Column]:
-    return [F.lit(title)] + [
-        F.concat(F.lit(f"{n} = "), F.coalesce(F.col(f"{n}{suffix}"), F.lit(""))) for n in schema.names
-    ]
+#: Why a pair is, or is not, a duplicate.
+DUPLICATE, TOO_FAR, DENIED_BY, NOT_EQUAL, TOO_FEW = "duplicate", "below_tiers", "denied", "not_identical", "too_few_fields"
 
 
 def explain_pairs(pairs: DataFrame, schema: MatchSchema) -> DataFrame:
-    """Add ``report``: both records, each field's outcome, the tier and the reason."""
+    """Scored pairs with ``reason`` (a code), ``fields`` (name, both values, score and
+    status of each compared field) and ``report``, the same as text."""
     scored = score_pairs(pairs, schema)
-    outcomes = []
-    needs_max = F.lit(False)
-    denied = F.lit(False)
+    denied, strict = F.lit(False), F.lit(False)
+    fields = []
     for f in schema.compared:
-        s = F.col(f"status_{f.name}")
-        text = (
-            F.when(s == MATCH, "matches")
-            .when(s == IGNORED, "is ignored")
-            .when(s == NEEDS_MAX, "requires maximum similarity score")
-            .otherwise("does NOT match")
-        )
-        outcomes.append(F.concat(F.lit(f"Field[{f.pos},'{f.name}']: "), text))
-        needs_max = needs_max | (s == NEEDS_MAX)
-        denied = denied | (s == "DENIED")
-    similarity = F.round("similarity", 6).cast("string")
-    reason = (
-        F.when(F.col("duplicate"), "=> Documents are duplicated.")
-        .when(
-            F.col("min_fields").isNull(),
-            F.concat(F.lit("=> Documents are NOT duplicated. Similarity["), similarity, F.lit(f"] < {schema.floor}.")),
-        )
-        .when(denied, "=> Documents are NOT duplicated. A field denies it.")
-        .when(
-            needs_max & (F.col("similarity") < 1.0),
-            F.concat(F.lit("=> Documents are NOT duplicated. Similarity["), similarity, F.lit("] < 1.0")),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("=> Documents are NOT duplicated. Matched fields["),
-                F.col("matched_fields").cast("string"),
-                F.lit("] < "),
-                F.col("min_fields").cast("string"),
-                F.lit("."),
+        status = F.col(f"status_{f.name}")
+        denied, strict = denied | (status == DENIED), strict | (status == NEEDS_MAX)
+        fields.append(
+            F.struct(
+                F.lit(f.name).alias("name"),
+                F.coalesce(f"{f.name}_1", F.lit("")).alias("value_1"),
+                F.coalesce(f"{f.name}_2", F.lit("")).alias("value_2"),
+                F.round(f"score_{f.name}", 6).alias("score"),
+                status.alias("status"),
             )
         )
+    reason = (
+        F.when(F.col("duplicate"), DUPLICATE)
+        .when(F.col("min_fields").isNull(), TOO_FAR)
+        .when(denied, DENIED_BY)
+        .when(strict & (F.col("similarity") < 1.0), NOT_EQUAL)
+        .otherwise(TOO_FEW)
     )
-    lines = (
-        _fields_text("Input document:", schema, "_1")
-        + [F.lit("")]
-        + _fields_text("Indexed document:", schema, "_2")
-        + [F.lit("")]
-        + outcomes
-        + [
-            F.lit(""),
-            F.concat(F.lit("Similarity = "), similarity),
-            F.concat(F.lit("Required_max_similarity = "), needs_max.cast("string")),
-            F.lit(f"Total_fields = {len(schema.compared)}"),
-            F.concat(F.lit("Matched_fields = "), F.col("matched_fields").cast("string")),
-            F.concat(F.lit("Required_fields_match = "), F.coalesce(F.col("min_fields").cast("string"), F.lit("-"))),
-            F.lit(""),
-            reason,
-        ]
+    told = scored.withColumns({"reason": reason, "fields": F.array(*fields)})
+    line = lambda x: F.concat_ws("\t", x["status"], x["name"], x["value_1"], x["value_2"])
+    summary = F.concat_ws(
+        "\t",
+        F.col("reason"),
+        F.format_string("%.6f", "similarity"),
+        F.concat_ws("/", F.col("matched_fields").cast("string"), F.coalesce(F.col("min_fields").cast("string"), F.lit("-"))),
+        F.coalesce(f"{schema.index_field.name}_1", F.lit("")),
+        F.coalesce(f"{schema.index_field.name}_2", F.lit("")),
     )
-    return scored.withColumn("report", F.concat_ws("\n", *lines))
+    return told.withColumn("report", F.concat_ws("\n", summary, F.array_join(F.transform("fields", line), "\n")))
+

@@ -54,7 +54,6 @@ class MatchSchema:
     tiers: tuple[Tier, ...]
     fields: tuple[Field, ...]
     ngram: int = 3
-    max_text_size: int | None = None
     author_score: float = 0.6
 
     def __post_init__(self):

@@ -23,16 +23,17 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else set on the context.
 
-    Only a local-mode session without that setting gets a temporary folder;
-    on a cluster a missing setting is an error, because executors on other
-    machines could not read what one of them wrote.
+    Only a session that runs in one process and names no folder gets a temporary one;
+    on a cluster a missing setting is an error, because executors on other machines
+    could not read what one of them wrote.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can read")
     app = spark.sparkContext.applicationId
     if app not in _local_stage_dirs:

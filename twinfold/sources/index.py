@@ -1,8 +1,9 @@
 """The record index: a table of stored records with raw and normalised fields.
 
-``records`` holds one row per record key; every change writes a new table path, so
-readers of the old one are never disturbed. A gram side table can be stored next to
-it for term lookups by n-gram.
+``records`` holds one row per record key. Next to it is a gram table, which may be empty
+but never describes records that are gone: building without grams and resetting empty
+it. Upsert and delete return the new rows; store them under a new path to leave readers
+of the old one alone.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ def lines_to_index(lines: DataFrame, schema: MatchSchema, column: str = "value")
 def build_index(
     df: DataFrame, schema: MatchSchema, path: str, append: bool = False, grams: bool = False, files: int | None = None
 ) -> None:
-    """Store records (and grams, clustered by gram); overwrite unless ``append``."""
+    """Store records (and grams, clustered by gram); overwrite unless ``append``.
+
+    Appending needs the same choice of ``grams`` as before."""
     mode = "append" if append else "overwrite"
     records = index_records(df, schema)
     (records.repartition(files, "rec_key") if files else records).write.mode(mode).parquet(f"{path}/records")
@@ -51,12 +54,19 @@ def build_index(
         rows = index_grams(records, schema)
         rows = rows.repartitionByRange(files, "gram", "rec_key") if files else rows.repartitionByRange("gram", "rec_key")
         rows.write.mode(mode).parquet(f"{path}/grams")
+    elif not append:
+        _no_grams(df.sparkSession, path)
 
 
 def reset_index(spark: SparkSession, schema: MatchSchema, path: str) -> None:
     """Leave an empty index of the right shape."""
     shape = ", ".join(["rec_key string", *(f"`{n}` string" for n in schema.names), *(f"`{n}_norm` string" for n in schema.names)])
     spark.createDataFrame([], shape).write.mode("overwrite").parquet(f"{path}/records")
+    _no_grams(spark, path)
+
+
+def _no_grams(spark: SparkSession, path: str) -> None:
+    spark.createDataFrame([], "gram string, rec_key string").write.mode("overwrite").parquet(f"{path}/grams")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -108,10 +118,6 @@ def audit_index(records: DataFrame, schema: MatchSchema, strict: bool = True) ->
     return records.where(bad)
 
 
-def index_is_ok(records: DataFrame, schema: MatchSchema) -> bool:
-    return audit_index(records, schema).isEmpty()
-
-
 class Term:
     """A search condition over stored fields; combine with ``&``, ``|`` and ``~``."""
 
@@ -139,11 +145,12 @@ def term(field: str, text: str, ngram: int = 3) -> Term:
     return Term(hit, F.when(hit, F.greatest(F.size(grams), F.lit(1))).otherwise(0))
 
 
-def search(records: DataFrame, condition: Term, fields: list[str] | None = None, count: int = 9999) -> DataFrame:
-    """The best ``count`` hits: most matched grams first, then key."""
+def search(records: DataFrame, condition: Term, fields: list[str] | None = None, count: int | None = None) -> DataFrame:
+    """Hits, most matched grams first, then by key; only the best ``count`` if that is given."""
     hits = records.where(condition.test).withColumn("weight", condition.weight)
     shown = ["rec_key", *(fields or [c for c in records.columns if c != "rec_key"])]
-    return hits.orderBy(F.desc("weight"), "rec_key").limit(count).select(*shown)
+    hits = hits.orderBy(F.desc("weight"), "rec_key")
+    return (hits if count is None else hits.limit(count)).select(*shown)
 
 
 def hit_count(records: DataFrame, condition: Term) -> DataFrame:

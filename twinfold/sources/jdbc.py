@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +15,50 @@ REPEATED = ("title",)
 ID_COLUMN = "reference_ptr_id"
 
 
-def run_queries(spark: SparkSession, queries: list[str], jdbc: dict[str, str] | None = None) -> list[DataFrame]:
-    """One frame per query, sent whole to the database when ``jdbc`` holds its options,
-    else run over the session's views."""
+@dataclass(frozen=True)
+class Split:
+    """Read a query in parts: ranges of a whole-number column of its result."""
+
+    column: str
+    parts: int
+
+
+def _as_table(query: str) -> str:
+    return f"({query.strip().rstrip(';')}) q"
+
+
+def bounds_query(query: str, split: Split) -> str:
+    return f"SELECT min({split.column}) AS low, max({split.column}) AS high FROM {_as_table(query)}"
+
+
+def read_options(query: str, split: Split | None = None, low: int | None = None, high: int | None = None) -> dict[str, str]:
+    """Options of a database read: one task for each range of the column, or one in all. Rows
+    below, above or without a value of the column are read as well."""
+    options = {"dbtable": _as_table(query)}
+    if split is None or low is None or high is None:
+        return options
+    return options | {
+        "partitionColumn": split.column,
+        "lowerBound": str(low),
+        "upperBound": str(high + 1),
+        "numPartitions": str(max(1, min(split.parts, high - low + 1))),
+    }
+
+
+def run_queries(
+    spark: SparkSession, queries: list[str], jdbc: dict[str, str] | None = None, split: Split | None = None
+) -> list[DataFrame]:
+    """One frame per query, sent to the database when ``jdbc`` holds its options, else run
+    over the session's views. With ``split`` the database is asked for ranges of a column."""
     if jdbc is None:
         return [spark.sql(q) for q in queries]
-    return [
-        spark.read.format("jdbc").options(**jdbc).option("query", q.strip().rstrip(";")).load() for q in queries
-    ]
+    frames = []
+    for q in queries:
+        low = high = None
+        if split is not None:
+            low, high = spark.read.format("jdbc").options(**jdbc).option("query", bounds_query(q, split)).load().first()
+        frames.append(spark.read.format("jdbc").options(**jdbc, **read_options(q, split, low, high)).load())
+    return frames
 
 
 def union_positional(frames: list[DataFrame]) -> DataFrame:
@@ -31,8 +69,10 @@ def union_positional(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def read_jdbc_queries(spark: SparkSession, queries: list[str], jdbc: dict[str, str] | None = None) -> DataFrame:
-    return union_positional(run_queries(spark, queries, jdbc))
+def read_jdbc_queries(
+    spark: SparkSession, queries: list[str], jdbc: dict[str, str] | None = None, split: Split | None = None
+) -> DataFrame:
+    return union_positional(run_queries(spark, queries, jdbc, split))
 
 
 def clean_record(
@@ -60,8 +100,12 @@ def clean_record(
 
 
 def queries_to_records(
-    spark: SparkSession, queries: list[str], jdbc: dict[str, str] | None = None, **cleaning
+    spark: SparkSession,
+    queries: list[str],
+    jdbc: dict[str, str] | None = None,
+    split: Split | None = None,
+    **cleaning,
 ) -> DataFrame:
     """Extract, clean and append; each query keeps its own id column and column names
     while its rows are cleaned."""
-    return union_positional([clean_record(f, **cleaning) for f in run_queries(spark, queries, jdbc)])
+    return union_positional([clean_record(f, **cleaning) for f in run_queries(spark, queries, jdbc, split)])

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from twinfold.functions.text import fill_pattern, split_pipe, trim_control
 from twinfold.schema import MatchSchema
 
-LINE_LIMIT = 100
-
 
 def drop_blank(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(trim_control(column) != "")
@@ -78,6 +76,7 @@ def write_good_bad(checked: DataFrame, good: str, bad: str, mode: str = "errorif
 
 
 def write_by_pattern(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One output folder per fill pattern."""
+    """One output folder per fill pattern, with the lines of a pattern in few files."""
     cells = F.split("value", r"\|", -1)
-    lines.select(fill_pattern(cells).alias("pattern"), "value").write.mode(mode).partitionBy("pattern").text(path)
+    rows = lines.select(fill_pattern(cells).alias("pattern"), "value").hint("rebalance", "pattern")
+    rows.write.mode(mode).partitionBy("pattern").text(path)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinfold.functions.text import record_key
 from twinfold.schema import MatchSchema
 
 
@@ -31,6 +32,19 @@ def report_lines(report: DataFrame, schema: MatchSchema) -> DataFrame:
 
 
 def write_dup_report(report: DataFrame, schema: MatchSchema, path: str, mode: str = "errorifexists") -> None:
-    """Delimited text with a header in every part file."""
-    shown = [F.round(c, 6).alias(c) if c.endswith("_score") else F.col(c) for c in report_columns(schema)]
-    report.select(*shown).write.mode(mode).option("header", True).option("sep", "|").csv(path)
+    """Text lines, the header among them once; values keep every character but line breaks."""
+    header = report.sparkSession.createDataFrame([(report_header(schema),)], "value string")
+    header.union(report.select(report_line(schema))).write.mode(mode).text(path)
+
+
+def read_dup_report(spark: SparkSession, schema: MatchSchema, path: str) -> DataFrame:
+    """Written report lines as columns, with ``rec_key_1`` and ``rec_key_2`` as in the report."""
+    lines = spark.read.text(path).where(F.col("value") != report_header(schema))
+    cells = F.split("value", r"\|", -1)
+    columns = [
+        F.when(cells[i] != "", cells[i].cast("double")).alias(c) if c.endswith("_score") else cells[i].alias(c)
+        for i, c in enumerate(report_columns(schema))
+    ]
+    read = lines.select(*columns)
+    keys = [record_key(f"{schema.id_field.name}_{n}", f"{schema.database_field.name}_{n}").alias(f"rec_key_{n}") for n in (1, 2)]
+    return read.select(*keys, *read.columns)

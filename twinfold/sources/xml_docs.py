@@ -54,12 +54,6 @@ def with_type(docs: DataFrame) -> DataFrame:
     return docs.withColumn("type", F.lower(F.get(values_of("type"), F.lit(0))))
 
 
-def conversion_rows(spark: SparkSession, tables: dict[str, dict[str, int]]) -> DataFrame:
-    """The field-to-position tables as rows (type, name, pos)."""
-    rows = [(t.lower(), name, pos) for t, table in tables.items() for name, pos in table.items()]
-    return spark.createDataFrame(rows, "type string, name string, pos int")
-
-
 def known_types(docs: DataFrame, tables: dict[str, dict[str, int]]) -> DataFrame:
     return with_type(docs).where(F.col("type").isin([t.lower() for t in tables]))
 
@@ -89,7 +83,7 @@ def docs_to_lines(docs: DataFrame, tables: dict[str, dict[str, int]], sep: str =
 
 
 def write_by_type(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    lines.write.mode(mode).partitionBy("type").text(path)
+    lines.hint("rebalance", "type").write.mode(mode).partitionBy("type").text(path)
 
 
 def xml_to_pipe(

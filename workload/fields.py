@@ -10,7 +10,7 @@ from twinfold.operators import validate as val
 from twinfold.plans import extract as ex
 from twinfold.schema import MatchSchema, preset
 from twinfold.sources import jdbc, pipe, xml_docs
-from workload.registry import SQL_CELLS, query, sql_key, sql_rec_key, sql_text
+from workload.registry import in_order, SQL_CELLS, query, sql_key, sql_rec_key, sql_text
 from workload.views import table, view, with_views
 
 LINES: MatchSchema = preset("article_five")
@@ -184,9 +184,12 @@ def _(spark, sf):
         T.prefixed_id("admin", "reference_ptr_id").alias("id"))
 
 
-@query("P20_utf8_check", "SELECT doc_id, true AS valid FROM documents")
+@query("P20_utf8_check", """SELECT doc_id, strlen(text) <= k OR list_contains([strlen(text[1:m]) for m in range(0, k + 1)], k) AS valid
+    FROM (SELECT doc_id, text, 9 + doc_id % 40 AS k FROM documents)""")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.valid_utf8("text").alias("valid"))
+    """Bytes of a text up to a place that may lie inside a character."""
+    cut = F.substring(F.encode("text", "UTF-8"), F.lit(1), (9 + F.col("doc_id") % 40).cast("int")).cast("string")
+    return table(spark, sf, "documents").select("doc_id", T.valid_utf8(cut).alias("valid"))
 
 
 # --- validation -----------------------------------------------------------------------------
@@ -213,7 +216,7 @@ SQL_CHECKED = f"checked AS (SELECT line_no, value, c, {SQL_REASON} AS reason FRO
 
 def _reasons(rule):
     def run(spark, sf):
-        lines = view(spark, sf, "pipe_line").select("line_no", T.split_pipe("value", pipe.LINE_LIMIT).alias("c"))
+        lines = view(spark, sf, "pipe_line").select("line_no", T.split_pipe("value").alias("c"))
         return lines.select("line_no", rule(F.col("c"), LINES).alias("reason"))
 
     return run
@@ -328,9 +331,10 @@ def _(spark, sf):
     return prof.totals(_patterns(spark, sf))
 
 
-@query("W07_pattern_order", with_views(f"WITH {SQL_PATTERNS} {_COUNTS} ORDER BY used, lines DESC, pattern DESC", "pipe_line"))
+@query("W07_pattern_order", with_views(f"""WITH {SQL_PATTERNS} SELECT *,
+    row_number() OVER (PARTITION BY used ORDER BY lines DESC, pattern DESC) AS place FROM ({_COUNTS})""", "pipe_line"))
 def _(spark, sf):
-    return prof.pattern_order(prof.pattern_counts(_patterns(spark, sf)))
+    return in_order(prof.pattern_order(prof.pattern_counts(_patterns(spark, sf))), "used")
 
 
 @query("B07_profile", with_views(f"""WITH {SQL_PATTERNS}
@@ -349,5 +353,7 @@ def _(spark, sf):
     FROM (SELECT reference_ptr_id AS id, trim(unnest(string_split(replace({SQL_ELEMENT}, '|', ' '), '//@//'))) AS t, pages
           FROM analytic)""", "analytic"))
 def _(spark, sf):
-    rows = jdbc.clean_record(view(spark, sf, "analytic").select("reference_ptr_id", "title", "pages"))
+    view(spark, sf, "analytic").createOrReplaceTempView("analytic")
+    asked = "SELECT reference_ptr_id, title, pages FROM analytic WHERE reference_ptr_id % 4 {} 1"
+    rows = jdbc.queries_to_records(spark, [asked.format("="), asked.format("<>")])
     return rows.select(pipe.joined_line(rows.columns).alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinfold.functions import compare as cmp
-from twinfold.functions.similarity import dice, ngram_similarity_col
+from twinfold.functions.similarity import SLACK, dice, ngram_similarity_col
 from twinfold.functions.text import normalize_key, normalize_text, regexp_group
 from twinfold.operators import blocking, dedup
 from twinfold.operators.explain import explain_pairs, pair_up, score_pairs
@@ -14,10 +14,10 @@ from twinfold.operators.similar import similar_docs_detail, similar_field_topk
 from twinfold.plans import jobs
 from twinfold.schema import DENY_DUP, MAX_SCORE, Field, MatchSchema, Tier
 from twinfold.session import stage
-from twinfold.sources.report import report_lines, write_dup_report
+from twinfold.sources.report import read_dup_report, report_lines, write_dup_report
 from workload.fields import LINES, SQL_CHECKED
-from workload.registry import query, scratch, sql_bigrams, sql_key, sql_rec_key, sql_text
-from workload.views import view, with_views
+from workload.registry import query, recursive, scratch, sql_bigrams, sql_key, sql_rec_key, sql_similarity, sql_text
+from workload.views import table, view, with_views
 
 _HEAD = (Field("database", 0, "database"), Field("id", 1, "id"), Field("title", 2, "index"))
 PAGE = r"e?(\d+)"
@@ -229,19 +229,31 @@ def _star(spark, sf, by=("journal", "year")):
         *[F.col(f"{s}.{n}").alias(f"{n}_{i}") for n in names for i, s in ((1, "one"), (2, "two"))])
 
 
-@query("M01_ngram_similarity")
+def _star_similarity(a: str, b: str, columns: str) -> str:
+    """Oracle over the star's pairs with the similarity of two of their texts."""
+    pairs = f"SELECT a.rec_key AS rec_key_1, b.rec_key AS rec_key_2, {a} AS a, {b} AS b FROM rec_p a JOIN partner b ON {_STAR}"
+    return recursive(with_views(
+        f"{_PARTNERED}, pairs AS MATERIALIZED ({pairs}), {sql_similarity('SELECT a, b FROM pairs')} "
+        f"SELECT rec_key_1, rec_key_2, {columns} FROM pairs JOIN near USING (a, b)", "rec"))
+
+
+def _status_sql(least: float) -> str:
+    return f"CASE WHEN a = '' OR b = '' THEN 'IGNORED' WHEN sim >= {least} - 1e-6 THEN 'MATCH' ELSE 'NO_MATCH' END AS status"
+
+
+@query("M01_ngram_similarity", _star_similarity("a.t", "b.t", "round(sim, 6) AS similarity"))
 def _(spark, sf):
     t1, t2 = normalize_text("title_1"), normalize_text("title_2")
-    return _star(spark, sf).select(
-        "rec_key_1", "rec_key_2", F.round(ngram_similarity_col(t1, t2, floor=0.7), 6).alias("similarity"))
+    return _star(spark, sf).select("rec_key_1", "rec_key_2", F.round(ngram_similarity_col(t1, t2), 6).alias("similarity"))
 
 
-@query("M02_cmp_ngram")
+@query("M02_cmp_ngram", _star_similarity("a.t", "b.t", _status_sql(0.6)))
 def _(spark, sf):
     t1, t2 = normalize_text("title_1"), normalize_text("title_2")
-    sims = _star(spark, sf).select("rec_key_1", "rec_key_2", t1.alias("a"), t2.alias("b"), ngram_similarity_col(t1, t2, floor=0.6).alias("s"))
+    sims = _star(spark, sf).select("rec_key_1", "rec_key_2", t1.alias("a"), t2.alias("b"), ngram_similarity_col(t1, t2).alias("s"))
     field = Field("title", 2, "ngram", min_score=0.6)
-    return sims.select("rec_key_1", "rec_key_2", cmp.status(field, F.col("a"), F.col("b"), F.col("s") >= 0.6).alias("status"))
+    status = cmp.status(field, F.col("a"), F.col("b"), F.col("s") >= 0.6 - SLACK)
+    return sims.select("rec_key_1", "rec_key_2", status.alias("status"))
 
 
 def _star_sql(columns: str) -> str:
@@ -276,11 +288,16 @@ def _(spark, sf):
         "rec_key_1", "rec_key_2", cmp.status(EQUAL_TITLES.field("page"), a, b, a == b).alias("page_status"))
 
 
-@query("M06_cmp_authors")
+_FIRST_AUTHOR = "split_part({}.authors, '//@//', 1)"
+
+
+@query("M06_cmp_authors", _star_similarity(
+    sql_text(_FIRST_AUTHOR.format("a")), sql_text(_FIRST_AUTHOR.format("b")), f"round(CASE WHEN a = '' OR b = '' THEN 0 ELSE sim END, 6) AS score, {_status_sql(0.6)}"))
 def _(spark, sf):
     a, b = (normalize_text(cmp.first_author(F.col(f"authors_{i}"))) for i in (1, 2))
     pairs = _star(spark, sf).select("rec_key_1", "rec_key_2", a.alias("a"), b.alias("b"))
-    scored = pairs.withColumn("score", ngram_similarity_col("a", "b", floor=0.6))
+    empty = (F.col("a") == "") | (F.col("b") == "")
+    scored = pairs.withColumn("score", F.when(empty, F.lit(0.0)).otherwise(ngram_similarity_col("a", "b")))
     field = SIMILAR_TITLES.field("authors")
     status = cmp.status(field, F.col("a"), F.col("b"), F.col("score") >= 0.6 - 1e-6)
     return scored.select("rec_key_1", "rec_key_2", F.round("score", 6).alias("score"), status.alias("status"))
@@ -347,19 +364,31 @@ def _(spark, sf):
 
 # --- nearest texts --------------------------------------------------------------------------
 
-TEXTS = ["The and attion to thanedble the, anea.", "Ou et de enier", "Einge ungö der"]
+# texts to look for are the first words of some benchmark items
+_ASKED = """asked AS (SELECT item_id AS query, concat_ws(' ', split_part(text, ' ', 1), split_part(text, ' ', 2), split_part(text, ' ', 3),
+        split_part(text, ' ', 4), split_part(text, ' ', 5)) AS text FROM benchmark WHERE item_id % 10 = 3)"""
+_NEAREST = f"""asked_t AS (SELECT query, {sql_text('text')} AS a FROM asked),
+    titles AS (SELECT {sql_rec_key()} AS rec_key, title, {sql_text('title')} AS b FROM rec),
+    {sql_similarity('SELECT a, b FROM asked_t CROSS JOIN titles')},
+    top AS (SELECT * FROM (SELECT query, rec_key, title, round(sim, 6) AS similarity,
+        row_number() OVER (PARTITION BY query ORDER BY sim DESC, rec_key) AS rank
+        FROM asked_t CROSS JOIN titles JOIN near USING (a, b)) WHERE rank <= 10)"""
 
 
 def _nearest(spark, sf):
-    return similar_field_topk(_rec(spark, sf), TEXTS, "title")
+    table(spark, sf, "benchmark").createOrReplaceTempView("benchmark")
+    asked = spark.sql(f"WITH {_ASKED} SELECT * FROM asked")
+    return similar_field_topk(_rec(spark, sf), asked, "title")
 
 
-@query("W04_similar_field_topk")
+@query("W04_similar_field_topk", recursive(with_views(f"WITH {_ASKED}, {_NEAREST} SELECT * FROM top", "rec")))
 def _(spark, sf):
     return _nearest(spark, sf).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("W05_similar_docs_detail")
+@query("W05_similar_docs_detail", recursive(with_views(f"""WITH {_ASKED}, {_NEAREST}
+    SELECT query, rank, similarity, rec_key, {', '.join(EQUAL_TITLES.names)}
+    FROM top JOIN (SELECT *, {sql_rec_key()} AS rec_key FROM rec) USING (rec_key, title) WHERE rank <= 3""", "rec")))
 def _(spark, sf):
     detail = similar_docs_detail(_nearest(spark, sf), _rec(spark, sf), 3)
     return detail.select("query", "rank", F.round("similarity", 6).alias("similarity"), "rec_key", *EQUAL_TITLES.names)
@@ -386,12 +415,13 @@ def _(spark, sf):
 
 
 @query("S10_write_dup_report", with_views(f"""{_REC_PREP}
-    SELECT title_1, title_2, journal_status FROM ({_SELF_REPORT})""", "rec"))
+    SELECT rec_key_1, rec_key_2, title_1, title_2, journal_status, year_status, page_status, abstract_score, abstract_status
+    FROM ({_SELF_REPORT})""", "rec"))
 def _(spark, sf):
     path = scratch(spark, "report")
     write_dup_report(jobs.self_check(_rec(spark, sf), EQUAL_TITLES, "doc_id").report, EQUAL_TITLES, path)
-    back = spark.read.option("header", True).option("sep", "|").option("multiLine", False).csv(path)
-    return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("title_1", "title_2", "journal_status")])
+    return read_dup_report(spark, EQUAL_TITLES, path).select(
+        "rec_key_1", "rec_key_2", "title_1", "title_2", "journal_status", "year_status", "page_status", "abstract_score", "abstract_status")
 
 
 @query("S10_report_lines", with_views(f"""{_REC_PREP}

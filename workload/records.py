@@ -12,7 +12,7 @@ from twinfold.schema import Field, MatchSchema, Tier, preset
 from twinfold.sources import index as ix
 from twinfold.sources import jdbc, pipe, xml_docs
 from workload.fields import LINES, SQL_CHECKED, TABLES, doc_fields
-from workload.registry import query, scratch, sql_key, sql_rec_key, sql_text
+from workload.registry import in_order, query, scratch, sql_key, sql_rec_key, sql_text
 from workload.views import catalogue, table, view, with_views
 
 # --- extraction -----------------------------------------------------------------------------
@@ -239,11 +239,11 @@ def _(spark, sf):
     return pr.except_ids(_batch(spark, sf), pr.merge_dup_ids(_pairs(spark, sf)))
 
 
-@query("W08_report_order", f"""WITH {_PAIRS} SELECT rec_key_1, concat_ws('|', rec_key_2, l_orderkey, l_linenumber) AS line
-    FROM pairs ORDER BY rec_key_1, line DESC""")
+@query("W08_report_order", f"""WITH {_PAIRS} SELECT rec_key_1, line, row_number() OVER (PARTITION BY rec_key_1 ORDER BY line DESC) AS place
+    FROM (SELECT rec_key_1, concat_ws('|', rec_key_2, l_orderkey, l_linenumber) AS line FROM pairs)""")
 def _(spark, sf):
     lines = _pairs(spark, sf).select("rec_key_1", pipe.joined_line(["rec_key_2", "l_orderkey", "l_linenumber"]).alias("line"))
-    return pr.report_order(lines, "rec_key_1", "line")
+    return in_order(pr.report_order(lines, "rec_key_1", "line"), "rec_key_1")
 
 
 # --- sources, sinks, index ------------------------------------------------------------------
@@ -289,12 +289,15 @@ def _(spark, sf):
         F.array_join(F.transform(xml_docs.values_of("ti"), lambda v: F.trim(v)), "//@//").alias("titles"), "type", F.size("fields").alias("n_fields"))
 
 
-@query("F11_file_filter", with_views("SELECT count(*) AS docs, 0 AS excluded FROM rec", "rec"))
+@query("F11_file_filter", with_views("SELECT id FROM rec", "rec"))
 def _(spark, sf):
-    folder = _xml_folder(spark, sf)
-    kept = xml_docs.read_xml_docs(spark, folder, include="part-.*").agg(F.count("*").alias("docs"))
-    none = xml_docs.read_xml_docs(spark, folder, include="part-.*", exclude=".*").agg(F.count("*").alias("excluded"))
-    return kept.join(none, F.lit(True))
+    """Files that a pattern includes, and those that it excludes: together every document once."""
+    path, some = scratch(spark, "xml-files"), "part-[0-9]*[02468]-.*"
+    named = F.transform("fields", lambda f: F.struct(f["name"].alias("_name"), f["value"].alias("_VALUE")))
+    docs = doc_fields(spark, sf).select(named.alias("field")).repartition(8)
+    docs.write.format("xml").options(rootTag="add", rowTag="doc").save(path)
+    kept, others = xml_docs.read_xml_docs(spark, path, some), xml_docs.read_xml_docs(spark, path, exclude=some)
+    return kept.union(others).select(F.get(xml_docs.values_of("id"), F.lit(0)).alias("id"))
 
 
 _TYPED = """SELECT journal AS type, CASE journal
@@ -394,13 +397,16 @@ def _(spark, sf):
     return ix.index_upsert(pick("rec", False), pick("page_rec", True), "title")
 
 
-@query("S12_index_reset", with_views("SELECT count(*) AS before, 0 AS after FROM rec", "rec"))
+@query("S12_index_reset", with_views("SELECT count(*) AS before, 0 AS after, 0 AS grams FROM rec", "rec"))
 def _(spark, sf):
     path = scratch(spark, "index")
-    ix.build_index(view(spark, sf, "rec"), RECORD, path)
-    before = ix.read_index(spark, path).count()
+    ix.build_index(view(spark, sf, "rec"), RECORD, path, grams=True)
+    before = view(spark, sf, "rec").agg(F.count("*").alias("before"))
     ix.reset_index(spark, RECORD, path)
-    return ix.read_index(spark, path).agg(F.lit(before).alias("before"), F.count("*").alias("after"))
+    rows = spark.read.parquet(f"{path}/records").select(F.lit("after").alias("what"))
+    rows = rows.union(spark.read.parquet(f"{path}/grams").select(F.lit("grams")))
+    left = rows.agg(F.count_if(F.col("what") == "after").alias("after"), F.count_if(F.col("what") == "grams").alias("grams"))
+    return before.withColumn("one", F.lit(1)).join(left.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 @query("F06_audit_index", with_views("""
