@@ -129,21 +129,26 @@ def _payload(schema: MatchSchema) -> list[Column]:
     return cols
 
 
-def certain_keys(schema: MatchSchema) -> Column:
-    """Digests of the certain sets a content fills."""
+def certain_keys(schema: MatchSchema, titled: bool | None = None) -> Column:
+    """Digests of the certain sets a content fills; ``titled`` picks those with or without
+    the index field."""
     keys = []
     for number, (fields, title) in enumerate(schema.certain_sets()):
+        if titled is not None and title != titled:
+            continue
         values = [F.col(f"v_{f.name}") for f in fields]
         filled = F.col("t") != ""
         for v in values:
             filled = filled & (v != "")
         text = F.concat_ws("\u0002", F.lit(str(number)), *values, *([F.col("t")] if title else []))
         keys.append(F.when(filled, F.unhex(F.md5(text))))
-    return F.array_compact(F.array(*keys))
+    return F.array_compact(F.array(*keys).cast("array<binary>"))
 
 
-def _certain_rows(classes: DataFrame, schema: MatchSchema) -> DataFrame:
-    return classes.select(F.explode(certain_keys(schema)).alias("group"), "content_id", "first_key")
+def certain_rows(classes: DataFrame, schema: MatchSchema, titled: bool | None = None) -> DataFrame:
+    """(group, content_id, first_key): the certain groups a content belongs to. All members
+    of a group are duplicates of each other."""
+    return classes.select(F.explode(certain_keys(schema, titled)).alias("group"), "content_id", "first_key")
 
 
 def _hubs(rows: DataFrame) -> DataFrame:
@@ -158,14 +163,14 @@ def _hubs(rows: DataFrame) -> DataFrame:
 def certain_pairs(left: DataFrame, right: DataFrame | None, schema: MatchSchema) -> DataFrame:
     """Members of each certain group with the group's first content; across two tables,
     members of either side with the first of the other."""
-    rows = _certain_rows(left, schema)
+    rows = certain_rows(left, schema)
     if right is None:
         hubs = stage(_hubs(rows).where("n > 1"), "hubs")
         star = rows.join(hubs, "group").where("content_id <> hub")
         return star.select(
             F.least("content_id", "hub").alias("content_1"), F.greatest("content_id", "hub").alias("content_2")
         )
-    others = _certain_rows(right, schema)
+    others = certain_rows(right, schema)
     hubs, other_hubs = stage(_hubs(rows), "hubs"), stage(_hubs(others), "hubs")
     return (
         rows.join(other_hubs, "group")
@@ -205,13 +210,6 @@ def _payload_names(schema: MatchSchema) -> list[str]:
     )
 
 
-def _by_family(families: list[Family], value) -> Column:
-    chain = F.lit(None)
-    for fam in families:
-        chain = F.when(F.col("family") == fam.number, value(fam)).otherwise(chain)
-    return chain
-
-
 def _block_sizes(left: DataFrame, right: DataFrame | None) -> DataFrame:
     """Rows per key, counted before any shuffle of rows; lone keys are dropped."""
     if right is None:
@@ -227,16 +225,61 @@ def _block_sizes(left: DataFrame, right: DataFrame | None) -> DataFrame:
     )
 
 
+def _main_groups(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Per crowded key the certain group with most of its rows: (k, main)."""
+    held = rows.join(hot, "k", "left_semi").select("k", F.explode("certain").alias("main"))
+    counts = held.groupBy("k", "main").agg(F.count("*").alias("n"))
+    return counts.groupBy("k").agg(F.max(F.struct("n", "main"))["main"].alias("main"))
+
+
 def _join_blocks(
-    left: DataFrame, right: DataFrame | None, sizes: DataFrame, schema: MatchSchema, families: list[Family], salt_rows: int
+    left: DataFrame,
+    right: DataFrame | None,
+    sizes: DataFrame,
+    schema: MatchSchema,
+    families: list[Family],
+    salt_rows: int,
+    crowd: int,
+) -> DataFrame:
+    """Pairs of rows with one key, but for those inside a certain group.
+
+    In a key with more than ``crowd`` rows, the members of its largest certain group are
+    not joined with each other at all: the other rows meet all rows. So a block whose
+    rows all belong to one group makes no pairs, whatever its size.
+    """
+    small = sizes.where(F.col("n") <= crowd)
+    if not schema.certain_sets():
+        return _join_rows(left, left if right is None else right, sizes, schema, families, salt_rows, right is None)
+    found = _join_rows(left, left if right is None else right, small, schema, families, salt_rows, right is None)
+    hot = sizes.where(F.col("n") > crowd)
+    both = left if right is None else left.unionByName(right)
+    main = stage(_main_groups(both.select("k", "certain"), hot), "main")
+    inside = F.coalesce(F.array_contains("certain", F.col("main")), F.lit(False))
+    sides = [r.join(main, "k", "left").withColumn("main", inside) for r in ([left] if right is None else [left, right])]
+    rest = sides[0].where(~F.col("main"))
+    if right is None:
+        return found.unionByName(_join_rows(rest, sides[0], hot, schema, families, salt_rows, True))
+    more = _join_rows(rest, sides[1], hot, schema, families, salt_rows, False)
+    last = _join_rows(sides[0].where("main"), sides[1].where(~F.col("main")), hot, schema, families, salt_rows, False)
+    return found.unionByName(more).unionByName(last)
+
+
+def _join_rows(
+    left: DataFrame,
+    right: DataFrame,
+    sizes: DataFrame,
+    schema: MatchSchema,
+    families: list[Family],
+    salt_rows: int,
+    same: bool,
 ) -> DataFrame:
     """Pairs of rows with one key. Keys over ``salt_rows`` rows are cut into that many
-    rows per task: the left side by hash, the right side copied to every cut."""
+    rows per task: the left side by hash, the right side copied to every cut. ``same``:
+    both sides are of one table, and ``main`` rows are on the right only."""
     cuts = F.ceil(F.col("n") / F.lit(salt_rows)).cast("int")
     a = left.join(sizes, "k").withColumn("salt", F.pmod(F.xxhash64("content_id"), cuts).cast("int")).alias("a")
     b = (
-        (left if right is None else right)
-        .join(sizes, "k")
+        right.join(sizes, "k")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), cuts - 1)))
         .alias("b")
     )
@@ -252,12 +295,14 @@ def _join_blocks(
         keep = keep & F.coalesce(x == y, F.lit(True))
     if schema.certain_sets():
         keep = keep & ~F.arrays_overlap("a.certain", "b.certain")
-    if right is None:
-        keep = keep & (F.col("a.content_id") < F.col("b.content_id"))
+    one, two = F.col("a.content_id"), F.col("b.content_id")
+    if same:
+        keep = keep & ((one < two) | F.col("b.main") if "main" in right.columns else one < two)
     on = (F.col("a.k") == F.col("b.k")) & (F.col("a.salt") == F.col("b.salt"))
-    return a.join(b, on & keep).select(
-        F.col("a.content_id").alias("content_1"), F.col("b.content_id").alias("content_2")
-    )
+    pairs = a.join(b, on & keep)
+    if same:
+        one, two = F.least(one, two), F.greatest(one, two)
+    return pairs.select(one.alias("content_1"), two.alias("content_2"))
 
 
 def _gram_rows(rows: DataFrame, schema: MatchSchema, families: list[Family], ranks: dict[int, bytes]) -> DataFrame:
@@ -306,7 +351,7 @@ def candidate_pairs(
         sizes = stage(_block_sizes(rows[0], rows[1] if right is not None else None), "sizes")
         split = F.col("family").isin([f.number for f in splittable]) if splittable else F.lit(False)
         whole = [r.join(sizes, "k").where(~split | (F.col("n") <= block_limit)).drop("n") for r in rows]
-        found.append(_join_blocks(whole[0], whole[1] if right is not None else None, sizes, schema, keyed, salt_rows))
+        found.append(_join_blocks(whole[0], whole[1] if right is not None else None, sizes, schema, keyed, salt_rows, block_limit))
         if splittable:
             hot = sizes.where(F.col("n") > block_limit).select("k")
             for at, (side, r) in enumerate(zip(sides, rows)):
@@ -330,7 +375,7 @@ def candidate_pairs(
             parts.append(one)
         other = parts[1] if right is not None else None
         sizes = stage(_block_sizes(parts[0], other), "sizes")
-        found.append(_join_blocks(parts[0], other, sizes, schema, families, salt_rows))
+        found.append(_join_blocks(parts[0], other, sizes, schema, families, salt_rows, block_limit))
     if schema.certain_sets():
         found.append(certain_pairs(left, right, schema))
     pairs = found[0]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from twinfold.functions.compare import (
     IGNORED,
@@ -24,7 +25,7 @@ from twinfold.functions.compare import (
     tier_min_fields,
 )
 from twinfold.functions.text import record_key
-from twinfold.operators.blocking import candidate_pairs
+from twinfold.operators.blocking import candidate_pairs, certain_rows
 from twinfold.schema import MatchSchema
 from twinfold.session import stage
 
@@ -241,8 +242,13 @@ def _raw_records(df: DataFrame, schema: MatchSchema, keys: DataFrame, n: int) ->
 def duplicate_report(dups: Duplicates) -> DataFrame:
     """Report rows: per field both values, score and status; then similarity and
     number of matched fields."""
+    return report_links(dups, linked_keys(dups))
+
+
+def report_links(dups: Duplicates, links: DataFrame) -> DataFrame:
+    """Report rows of given links (contents, keys and scores)."""
     schema = dups.schema
-    links = stage(linked_keys(dups), "links")
+    links = stage(links, "links")
     keys = [links.select(F.col(f"key_{n}").alias("rec_key")) for n in (1, 2)]
     if dups.self_check:
         keys = [keys[0].unionByName(keys[1])] * 2
@@ -291,12 +297,78 @@ def duplicate_keys(dups: Duplicates) -> DataFrame:
     return out.distinct()
 
 
+def group_members(dups: Duplicates) -> DataFrame:
+    """(group, side, content_id, rec_key): members of certain groups. With the pairs of
+    different contents this is the whole result: all members of a group, and all records
+    of a content that ``copies_are_duplicates``, are duplicates of each other."""
+    out = None
+    for side, (classes, rows) in enumerate([(dups.left, dups.left_rows), (dups.right, dups.right_rows)]):
+        own = certain_rows(classes, dups.schema).select("group", "content_id")
+        own = own.join(_keys(rows), "content_id").select("group", F.lit(side + 1).alias("side"), "content_id", "rec_key")
+        out = own if out is None else out.unionByName(own)
+        if dups.self_check:
+            break
+    return out
+
+
+def linked_contents(dups: Duplicates) -> DataFrame:
+    """Every pair (content_1, content_2) of linked contents, those implied by certain
+    groups included. A group makes this as large as the square of its contents."""
+    pairs = dups.pairs.select("content_1", "content_2")
+    if not dups.schema.certain_sets():
+        return pairs
+    one = certain_rows(dups.left, dups.schema).select("group", F.col("content_id").alias("content_1"))
+    two = certain_rows(dups.right, dups.schema).select("group", F.col("content_id").alias("content_2"))
+    implied = one.join(two, "group").select("content_1", "content_2")
+    if dups.self_check:
+        implied = implied.where("content_1 < content_2")
+    return pairs.unionByName(implied).distinct()
+
+
+def _top_keys(rows: DataFrame, by: list[str], most: int) -> DataFrame:
+    """The ``most`` smallest record keys of each group of rows."""
+    rank = F.row_number().over(W.partitionBy(*by).orderBy("rec_key"))
+    return rows.withColumn("_n", rank).where(F.col("_n") <= most).drop("_n")
+
+
+def nearest_links(dups: Duplicates, quantity: int) -> DataFrame:
+    """Links of each left record to its ``quantity`` most similar duplicates on the right,
+    smaller keys first, with ``rank``. Complete: members of certain groups count as well.
+
+    Groups that include the index field have similarity 1, so more than ``quantity`` of a
+    group's keys (one may be the record's own) can't matter; they are ranked before they
+    meet the records.
+    """
+    schema, most = dups.schema, quantity + 1
+    keys = _keys(dups.right_rows)
+    titled = certain_rows(dups.right, schema, True).select("group", "content_id").join(keys, "content_id")
+    titled = _top_keys(titled, ["group"], most).select("group", F.col("content_id").alias("content_2")).distinct()
+    own = certain_rows(dups.left, schema, True).select("group", F.col("content_id").alias("content_1"))
+    implied = own.join(titled, "group").select("content_1", "content_2")
+    loose = certain_rows(dups.right, schema, False).select("group", F.col("content_id").alias("content_2"))
+    own = certain_rows(dups.left, schema, False).select("group", F.col("content_id").alias("content_1"))
+    implied = implied.unionByName(own.join(loose, "group").select("content_1", "content_2")).distinct()
+    implied = implied.join(dups.pairs.select("content_1", "content_2"), ["content_1", "content_2"], "left_anti")
+    scores = _scores(schema)
+    scored = verify_pairs(stage(implied, "implied"), dups.left, dups.right, schema)
+    pairs = dups.pairs.select("content_1", "content_2", *scores).unionByName(scored.select("content_1", "content_2", *scores))
+    right = _top_keys(keys, ["content_id"], most)
+    right = right.select(F.col("content_id").alias("content_2"), F.col("rec_key").alias("key_2"))
+    left = _keys(dups.left_rows).select(F.col("content_id").alias("content_1"), F.col("rec_key").alias("key_1"))
+    links = pairs.join(right, "content_2").join(left, "content_1").where("key_1 <> key_2")
+    best = F.row_number().over(W.partitionBy("key_1", "key_2").orderBy(F.desc("similarity"), "content_1", "content_2"))
+    links = links.withColumn("_best", best).where("_best = 1").drop("_best")
+    rank = F.row_number().over(W.partitionBy("key_1").orderBy(F.desc("similarity"), "key_2"))
+    return links.withColumn("rank", rank).where(F.col("rank") <= quantity).select(*_ENDS, *scores, "rank")
+
+
 def expand_pairs(dups: Duplicates) -> DataFrame:
-    """Every pair of record keys the factored result stands for. The output holds one
-    row per pair, so a content with many copies makes it large by nature."""
+    """Every pair of record keys the factored result stands for, those inside certain
+    groups included. The output holds one row per pair, so a large group makes it large
+    by nature."""
     left = _keys(dups.left_rows).select(F.col("content_id").alias("content_1"), F.col("rec_key").alias("a"))
     right = _keys(dups.right_rows).select(F.col("content_id").alias("content_2"), F.col("rec_key").alias("b"))
-    linked = dups.pairs.select("content_1", "content_2")
+    linked = linked_contents(dups)
     if dups.self_check:
         same = _self_copies(dups).select(F.col("content_id").alias("content_1"), F.col("content_id").alias("content_2"))
         linked = linked.unionByName(same)

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from twinfold.functions.text import fill_pattern
 from twinfold.operators.dedup import (
@@ -14,6 +13,8 @@ from twinfold.operators.dedup import (
     duplicate_keys,
     duplicate_report,
     find_duplicates,
+    nearest_links,
+    report_links,
     with_key,
 )
 from twinfold.operators.pairs import drop_higher_id, no_dup, take_no_dup_light, take_no_duplicated
@@ -88,9 +89,10 @@ def double_check(
 
 def lookup_duplicates(queries: DataFrame, index: DataFrame, schema: MatchSchema, quantity: int) -> DataFrame:
     """Duplicates of each query record in the index, the ``quantity`` most similar ones."""
-    report = duplicate_report(find_duplicates(with_key(queries, schema), schema, index))
-    rank = F.row_number().over(W.partitionBy("rec_key_1").orderBy(F.desc("similarity"), "rec_key_2"))
-    return report.withColumn("rank", rank).where(F.col("rank") <= quantity)
+    dups = find_duplicates(with_key(queries, schema), schema, index)
+    links = stage(nearest_links(dups, quantity), "nearest")
+    ranks = links.select(F.col("key_1").alias("rec_key_1"), F.col("key_2").alias("rec_key_2"), "rank")
+    return report_links(dups, links.drop("rank")).join(ranks, ["rec_key_1", "rec_key_2"])
 
 
 def records_without_dups(batch: DataFrame, pairs: DataFrame, id_column: str, id_1: str, id_2: str) -> DataFrame:
