@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from twinfold.functions.text import fill_pattern, trim_control
+from twinfold.session import stage
 
 
 def _split(column: str, separator: str):
@@ -86,7 +87,7 @@ def pattern_order(counted: DataFrame) -> DataFrame:
 
 def profile(lines: DataFrame, column: str = "value", separator: str = "|") -> DataFrame:
     """The whole profile as rows (section, item, lines, percent)."""
-    pats = patterns(lines, column, separator)
+    pats = stage(patterns(lines, column, separator), "patterns")
     nothing = F.lit(None).cast("double")
     whole = totals(pats)
     parts = [

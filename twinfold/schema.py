@@ -203,6 +203,7 @@ def _from_json(doc: dict, name: str, options: dict) -> MatchSchema:
 
 # The rule sets in use, one row per record type.
 # name: (tiers, index field, compared and carried fields in position order from 3)
+# Only the name of the last carried field, a link, is a neutral one.
 _PAGE = r"e?(\d+)"
 _NEED = "titulo_revista"
 _TAIL = [("centro_colaborador",), ("tipo_literatura",), ("nivel_de_tratamento",), ("status",),
@@ -247,7 +248,7 @@ _PRESETS = {
          ("ano_publicacao", "exact", {}),
          ("autores", "ngram", {"min_score": 0.6}),
          ("pagina_inicial", "regexp", {"match": MAX_SCORE, "pattern": _PAGE}),
-         ("volume",), ("numero",), *_TAIL]),
+         ("volume",), ("numero",), _TAIL[0], ("tipo_de_literatura",), *_TAIL[2:]]),
     "article_five": (
         [(0.95, 3), (0.8, 4)], "titulo_artigo",
         [("titulo_revista", "ngram", {"min_score": 0.6}),
@@ -265,7 +266,7 @@ _PRESETS = {
          *_TAIL]),
     "issue_four": (
         [(0.6, 4)], "titulo_revista",
-        [("issn", "exact", {"match": MAX_SCORE}),
+        [("ISSN", "exact", {"match": MAX_SCORE}),
          ("volume_fasciculo", "exact", {"match": DENY_DUP}),
          ("numero_fasciculo", "exact", {"match": DENY_DUP}),
          ("ano_publicacao", "regexp", {"match": DENY_DUP, "pattern": r"(\d\d\d\d)"})]),

@@ -467,13 +467,43 @@ def _(spark, sf):
     return pick(done.no_dup_1, 1).union(pick(done.no_dup_2, 2))
 
 
-@query("W06_lookup_duplicates", with_views(f"""{_BOTH_PREP}, page_rec_c AS ({_CONTENT.format('page_rec')}),
-        rec_c AS ({_CONTENT.format('rec')}),
-        scored AS (SELECT * FROM {_sql_scored('page_rec_p', 'rec_p', _SELF)} WHERE {_DUP})
-    SELECT rec_key, count(*) AS found FROM (SELECT DISTINCT rec_key_1 AS rec_key FROM scored) GROUP BY rec_key""", "rec", "page_rec"))
+@query("W06_lookup_duplicates", with_views(f"""{_BOTH_PREP},
+        scored AS (SELECT DISTINCT rec_key_1, rec_key_2 FROM {_INDEX_PAIRS} WHERE {_DUP})
+    SELECT * FROM (SELECT rec_key_1, rec_key_2, row_number() OVER (PARTITION BY rec_key_1 ORDER BY rec_key_2) AS rank
+        FROM scored) WHERE rank <= 3""", "rec", "page_rec"))
 def _(spark, sf):
-    found = jobs.lookup_duplicates(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, 1)
-    return found.groupBy(F.col("rec_key_1").alias("rec_key")).agg(F.count("*").alias("found"))
+    found = jobs.lookup_duplicates(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, 3)
+    return found.select("rec_key_1", "rec_key_2", "rank")
+
+
+@query("W06_lookup_in_batch", with_views(f"""WITH {_sql_prep('rec')},
+        scored AS (SELECT DISTINCT rec_key_1, rec_key_2 FROM {_SELF_PAIRS} WHERE {_DUP})
+    SELECT * FROM (SELECT rec_key_1, rec_key_2, row_number() OVER (PARTITION BY rec_key_1 ORDER BY rec_key_2) AS rank
+        FROM scored) WHERE rank <= 3""", "rec"))
+def _(spark, sf):
+    found = jobs.lookup_duplicates(_rec(spark, sf), _rec(spark, sf), EQUAL_TITLES, 3)
+    return found.select("rec_key_1", "rec_key_2", "rank")
+
+
+_GROUPS = "SELECT rec_key, t, {0}, vy, min(rec_key) OVER w AS first_key, max(rec_key) OVER w AS last_key FROM rec_p " \
+          "WHERE t <> '' AND {0} <> '' AND vy <> '' WINDOW w AS (PARTITION BY t, {0}, vy)"
+
+
+@query("J06_certain_groups", with_views(f"""WITH {_sql_prep('rec')}
+    SELECT first_key, rec_key FROM ({_GROUPS.format('vj')}) WHERE first_key <> last_key
+    UNION SELECT first_key, rec_key FROM ({_GROUPS.format('vp')}) WHERE first_key <> last_key""", "rec"))
+def _(spark, sf):
+    """Members of the groups that plain equality finds, each with the group's first key."""
+    held = stage(dedup.group_members(dedup.find_duplicates(_rec(spark, sf), EQUAL_TITLES)), "members")
+    ends = held.groupBy("group").agg(F.min("rec_key").alias("first_key"), F.max("rec_key").alias("last_key"))
+    return held.join(ends.where("first_key <> last_key"), "group").select("first_key", "rec_key").distinct()
+
+
+@query("B01_expanded_pairs", with_views(f"""WITH {_sql_prep('rec')}
+    SELECT DISTINCT rec_key_1, rec_key_2 FROM {_SELF_PAIRS} WHERE {_DUP} AND rec_key_1 < rec_key_2""", "rec"))
+def _(spark, sf):
+    """Pairs, copies and groups together are all pairs of plain SQL."""
+    return dedup.expand_pairs(dedup.find_duplicates(_rec(spark, sf), EQUAL_TITLES))
 
 
 @query("W01_dedup_report_pairs", with_views(

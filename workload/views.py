@@ -19,6 +19,9 @@ BASE = {
 
 _TITLE = "trim(replace(split_part(text, chr(10), 1), '|', ' '))"
 _WORD = "replace(replace(split_part(text, ' ', {n}), chr(10), ' '), '|', ' ')"
+# the page without its marks; DuckDB replaces all matches only with an option, Spark does so by itself
+_ALL = "/*all*/"
+_PBODY = f"trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ' {_ALL}), '[ |\\n\\t]+', ' ' {_ALL}))"
 _PTITLE = "trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '|', ' '))"
 
 VIEWS = {
@@ -44,7 +47,7 @@ VIEWS = {
                cast(1990 + length(split_part({_PTITLE}, ' ', 1)) AS string) AS year,
                concat(split_part({_PTITLE}, ' ', 2), '//@//', split_part({_PTITLE}, ' ', 3)) AS authors,
                concat('e', cast(length(split_part({_PTITLE}, ' ', 4)) AS string)) AS page,
-               '' AS abstract
+               {_PBODY} AS abstract
         FROM pages""",
     # positional lines with gaps, blanks and short lines: database|id|title|journal|year|volume|issue
     "pipe_line": """
@@ -158,7 +161,7 @@ def catalogue(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def with_views(sql: str, *names: str) -> str:
     """An oracle query over views: ``sql`` may itself start with more CTEs."""
-    ctes = ", ".join(f"{n} AS ({VIEWS[n]})" for n in names)
+    ctes = ", ".join(f"{n} AS ({VIEWS[n].replace(_ALL, ", 'g'")})" for n in names)
     body = sql.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {ctes}, {body[5:]}"
