@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import itertools
 import os
 import re
 import struct
@@ -146,9 +145,10 @@ class Model:
 
 
 class Codec:
-    """Encoder and decoder of batches. Words that were seen before are looked up; ``CACHE`` bounds how many are kept."""
+    """Encoder and decoder of batches. Words seen lately are looked up; two generations of at most ``CACHE`` are kept."""
 
-    CACHE = 300_000
+    CACHE = 200_000
+    JOINED = 500
 
     def __init__(self, data: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
@@ -160,7 +160,12 @@ class Codec:
         self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if model.by_word() else None
         self.bare = model.tokenizer()  # for words, which are normalised already
         self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([])
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.joined = model.tokenizer()  # for many words in one text
+        self.joined.normalizer = normalizers.Sequence([])
+        self.joined.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
+        self.first = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
+        self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.bytes = []
         for piece, _, kind in model.pieces:
             raw = b"" if kind == CONTROL else bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.encode()
@@ -172,22 +177,43 @@ class Codec:
             return MARK + text.replace(" ", MARK) if text else ""
         return self.normal.normalize_str(text)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _learn(self, words: set[str]) -> None:
+        """Have the ids of all these words among those seen."""
+        if len(self.seen) > self.CACHE:
+            self.seen, self.older = {}, self.seen
+        seen, older = self.seen, self.older
+        new = []
+        for word in words:
+            if word not in seen:
+                if word in older:
+                    seen[word] = older[word]
+                else:
+                    new.append(word)
+        # a piece that begins with the mark begins a word, so many words with one mark can be told apart again
+        plain = [w for w in new if w[0] == MARK and w.count(MARK) == 1]
+        groups = [plain[i : i + self.JOINED] for i in range(0, len(plain), self.JOINED)]
+        for group, e in zip(groups, self.joined.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<i4")
+            cuts = [*np.nonzero(self.first[ids])[0].tolist(), len(ids)]
+            raw = ids.tobytes()
+            for word, a, b in zip(group, cuts, cuts[1:]):
+                seen[word] = raw[4 * a : 4 * b]
+        odd = [w for w in new if w not in seen]
+        for word, e in zip(odd, self.bare.encode_batch_fast(odd, add_special_tokens=False)):
+            seen[word] = np.array(e.ids, "<i4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.words is None:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return [np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [self.words.findall(self._normal(t)) for t in texts]
-        if len(self.seen) > self.CACHE:
-            self.seen.clear()
-        new = list({w for words in split for w in words if w not in self.seen})
-        for word, e in zip(new, self.bare.encode_batch_fast(new, add_special_tokens=False)):
-            self.seen[word] = tuple(e.ids)
+        self._learn(set().union(*split))
         get = self.seen.__getitem__
-        return [list(itertools.chain.from_iterable(map(get, words))) for words in split]
+        return [np.frombuffer(b"".join(map(get, words)), "<i4") for words in split]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Byte pieces that are no UTF-8 become replacement characters, as in the libraries."""
         get = self.bytes.__getitem__
-        text = b"".join(map(get, ids)).decode(errors="replace")
+        text = b"".join(map(get, ids.tolist())).decode(errors="replace")
         return text[1:] if self.skip and text[:1] == " " else text
 
 
@@ -208,9 +234,10 @@ def _encode(data: bytes, one_in: int, with_text: bool):
             compared = []
             for text, own, read in zip(texts, ids, back):
                 chosen = hashlib.md5(text.encode()).digest()[0] % one_in == 0
+                own = own.tolist() if chosen else None
                 compared.append(library.encode(text) == own and library.decode(own) == read if chosen else None)
             sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))
+            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
             columns = {
                 "doc": batch.column("doc"),
