@@ -347,19 +347,48 @@ def _(spark, sf):
         (F.col("similarity") >= 1.0).alias("same_title"))
 
 
-@query("M11_score_pairs_similar")
+# pairs of records with the same authors under SIMILAR_TITLES
+_OTHER = "other AS (SELECT *, min(rec_key) OVER (PARTITION BY authors) AS first_key FROM rec_p)"
+_SIMILAR_PAIRS = f"""pairs AS MATERIALIZED (SELECT a.rec_key AS rec_key_1, b.rec_key AS rec_key_2, a.t AS t_1, b.t AS t_2,
+        {sql_text('a.journal')} AS j_1, {sql_text('b.journal')} AS j_2,
+        {sql_text(_FIRST_AUTHOR.format('a'))} AS a_1, {sql_text(_FIRST_AUTHOR.format('b'))} AS a_2,
+        {_sql_status('vy')} AS sy, {_sql_status('vp', 'NEEDS_MAX')} AS sp,
+        CASE WHEN a.ab = '' OR b.ab = '' THEN 'IGNORED' WHEN {_DICE} >= 0.65 - 1e-6 THEN 'MATCH' ELSE 'NO_MATCH' END AS sa
+    FROM rec_p a JOIN other b ON a.rec_key = b.first_key AND a.rec_key <> b.rec_key)"""
+_SIMILAR_TEXTS = "SELECT t_1 AS a, t_2 AS b FROM pairs UNION SELECT j_1, j_2 FROM pairs UNION SELECT a_1, a_2 FROM pairs"
+
+
+def _near_status(one: str, two: str, sim: str) -> str:
+    return f"CASE WHEN {one} = '' OR {two} = '' THEN 'IGNORED' WHEN {sim} >= 0.6 - 1e-6 THEN 'MATCH' ELSE 'NO_MATCH' END"
+
+
+_SIMILAR_SQL = f"""WITH {_sql_prep('rec')}, {_OTHER}, {_SIMILAR_PAIRS}, {sql_similarity(_SIMILAR_TEXTS)},
+    told AS (SELECT *, (sj = 'MATCH')::INT + (sy = 'MATCH')::INT + (su = 'MATCH')::INT + (sp = 'MATCH')::INT + (sa = 'MATCH')::INT AS matched,
+            CASE WHEN similarity >= 0.9 - 1e-6 THEN 2 WHEN similarity >= 0.7 - 1e-6 THEN 4 END AS least
+        FROM (SELECT pairs.*, n1.sim AS similarity, {_near_status('j_1', 'j_2', 'n2.sim')} AS sj, {_near_status('a_1', 'a_2', 'n3.sim')} AS su
+            FROM pairs JOIN near n1 ON n1.a = t_1 AND n1.b = t_2 JOIN near n2 ON n2.a = j_1 AND n2.b = j_2
+            JOIN near n3 ON n3.a = a_1 AND n3.b = a_2)),
+    judged AS (SELECT *, coalesce(t_1 <> '' AND t_2 <> '' AND matched >= least AND (sp <> 'NEEDS_MAX' OR similarity >= 1), false) AS duplicate FROM told)"""
+
+
+@query("M11_score_pairs_similar", recursive(with_views(f"""{_SIMILAR_SQL}
+    SELECT rec_key_1, rec_key_2, round(similarity, 6) AS similarity, matched AS matched_fields, least AS min_fields, duplicate
+    FROM judged""", "rec")))
 def _(spark, sf):
     scored = score_pairs(_star(spark, sf, ("authors",)), SIMILAR_TITLES)
     return scored.select("rec_key_1", "rec_key_2", F.round("similarity", 6).alias("similarity"),
                          "matched_fields", "min_fields", "duplicate")
 
 
-@query("M12_explain_pair")
+@query("M12_explain_pair", recursive(with_views(f"""{_SIMILAR_SQL}
+    SELECT rec_key_1 AS key_1, rec_key_2 AS key_2, duplicate, CASE WHEN duplicate THEN 'duplicate' WHEN least IS NULL THEN 'below_tiers'
+        WHEN sp = 'NEEDS_MAX' AND similarity < 1 THEN 'not_identical' ELSE 'too_few_fields' END AS reason,
+        concat_ws(' ', sj, sy, su, sp, sa) AS statuses FROM judged""", "rec")))
 def _(spark, sf):
     rec = _rec(spark, sf)
     requests = _star(spark, sf, ("authors",)).select(F.col("rec_key_1").alias("key_1"), F.col("rec_key_2").alias("key_2"))
     explained = explain_pairs(pair_up(requests, rec, rec, SIMILAR_TITLES), SIMILAR_TITLES)
-    return explained.select("key_1", "key_2", "duplicate", "report")
+    return explained.select("key_1", "key_2", "duplicate", "reason", F.array_join("fields.status", " ").alias("statuses"))
 
 
 # --- nearest texts --------------------------------------------------------------------------
