@@ -341,7 +341,9 @@ def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
     # many trees have the same region: one is enough
     sets = regions.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids").distinct()
     sets = stage(sets.select(F.monotonically_increasing_id().alias("region"), "ids"), "sets")
+    # the signatures that the rounds need are those of classes in some region
     members = sets.select("region", F.explode("ids").alias("id")).join(classes.select("id", "sign"), "id")
+    members = stage(members, "members")
     groups = failed = links = None
     more = None if wide.isEmpty() else _hub_pairs(wide, forest.likely)
     while True:
