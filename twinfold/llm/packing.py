@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from twinfold.llm.common import batches
+from twinfold.llm.common import batches, pick
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
@@ -32,9 +32,11 @@ SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+
 
 
 class Tokens:
-    """Ids of texts. Where white space stands alone, a text is cut before it and words seen before are looked up."""
+    """Ids of texts. Where white space stands alone, a text is cut before it, and pieces seen lately are looked up;
+    two generations of at most ``CACHE`` are kept."""
 
-    CACHE = 300_000
+    CACHE = 200_000
+    JOINED = 500
     _PAIR = re.compile(r"\s\s")
 
     def __init__(self, ranks: bytes):
@@ -42,21 +44,42 @@ class Tokens:
         self.model = tiktoken.Encoding(
             "packing", pat_str=SPLIT, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}
         )
-        self.seen: dict[str, list[int]] = {}
-
-    def encode(self, text: str) -> list[int]:
-        if self._PAIR.search(text):
-            return self.model.encode_ordinary(text)
-        first, *rest = text.split(" ")
+        self.first = np.array([self.model.decode_single_token_bytes(i)[:1] == b" " for i in range(self.model.n_vocab)])
+        self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        """Have the ids of all these words, each with a space before it, among those seen."""
+        seen, older, new = self.seen, self.older, []
+        for word in words:
+            if word not in seen:
+                if word in older:
+                    seen[word] = older[word]
+                elif word.isalpha():
+                    new.append(word)
+                else:
+                    seen[word] = self._whole(" " + word)
+        # only the first id of a word begins with a space, so many words can be read at once
+        for i in range(0, len(new), self.JOINED):
+            group = new[i : i + self.JOINED]
+            ids = np.array(self.model.encode_ordinary(" " + " ".join(group)), "<u2")
+            cuts, raw = [*np.nonzero(self.first[ids])[0].tolist(), len(ids)], ids.tobytes()
+            for word, a, b in zip(group, cuts, cuts[1:]):
+                seen[word] = raw[2 * a : 2 * b]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.model.encode_ordinary(text), "<u2").tobytes()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.seen) > self.CACHE:
-            self.seen.clear()
-        seen, out = self.seen, [self.model.encode_ordinary(first)]
-        for word in rest:
-            ids = seen.get(word)
-            if ids is None:
-                ids = seen[word] = self.model.encode_ordinary(" " + word)
-            out.append(ids)
-        return list(itertools.chain.from_iterable(out))
+            self.seen, self.older = {}, self.seen
+        split = [None if self._PAIR.search(t) else t.split(" ") for t in texts]
+        self._learn(set().union(*(s[1:] for s in split if s)))
+        get, out = self.seen.__getitem__, []
+        for text, pieces in zip(texts, split):
+            raw = self._whole(text) if pieces is None else self._whole(pieces[0]) + b"".join(map(get, pieces[1:]))
+            out.append(np.frombuffer(raw, "<u2"))
+        return out
 
     def decode(self, ids) -> str:
         return self.model.decode([int(i) for i in ids])
@@ -164,9 +187,9 @@ def _pack(ranks: bytes, length: int, limit: int):
 
         block, held = [], 0
         for batch in batches(rows, 2 << 20):
-            texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts):
-                ids = np.array([*tokens.encode(text.decode()), END], np.uint16)
+            texts = [t.decode() for t in batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(texts)):
+                ids = np.append(ids, np.uint16(END))
                 for at in range(0, len(ids), length):
                     block.append((doc, at, ids[at : at + length]))
                 held += len(ids)
@@ -189,7 +212,7 @@ def pack_documents(docs: DataFrame, ranks: str = RANKS, length: int = ROW, block
     """
     with open(ranks, "rb") as f:
         data = f.read()
-    return docs.select("doc_id", "text").mapInArrow(_pack(data, length, block), T.StructType.fromDDL(_FIELDS))
+    return pick(docs, "doc_id", "text").mapInArrow(_pack(data, length, block), T.StructType.fromDDL(_FIELDS))
 
 
 def write_packed(packed: DataFrame, path: str) -> DataFrame:
