@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Pattern of a word: white space is the six ASCII characters.
@@ -29,6 +29,19 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return flat.select(*[F.col(f"_{i}").alias(n) for i, n in zip(at, names)])
 
 
+def with_kept(df: DataFrame, own: list[str], keep: tuple[str, ...]) -> DataFrame:
+    """The columns ``own``, and those of ``keep`` as kept0, kept1, ...: no two names are alike."""
+    at = df.columns.index
+    flat = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    kept = [F.col(f"_{at(c)}").alias(f"kept{i}") for i, c in enumerate(keep)]
+    return flat.select(*[F.col(f"_{at(c)}").alias(c) for c in own], *kept)
+
+
+def kept_struct(keep: tuple[str, ...]) -> Column:
+    """Struct of the kept columns."""
+    return F.struct(*[F.col(f"kept{i}") for i in range(len(keep))] or [F.lit("").alias("none")])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; in plain local mode without it, a folder of our own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

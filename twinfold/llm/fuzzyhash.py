@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinfold.llm.common import Rolling, batches, mixed, parts, pick, stage
+from twinfold.llm.common import Rolling, batches, mixed, parts, stage, with_kept
 
 WINDOW = 7
 PIECES = 64
@@ -182,10 +182,10 @@ def compare_with_next(docs: DataFrame, *ids: str) -> DataFrame:
     after the last the first one. Returns struct ``doc`` (columns ``ids``), n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited and near_next. A null text is empty. The only row of a table follows itself.
     """
-    rows = pick(docs, *dict.fromkeys([*ids, "doc_id", "text"]))
+    rows = with_kept(docs, ["doc_id", "text"], ids)
     text = F.coalesce("text", F.lit(""))
     rows = rows.select(
-        F.struct(*ids).alias("doc"),
+        F.struct(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(ids)]).alias("doc"),
         text.alias("text"),
         F.col("doc_id").isNull().alias("none"),
         (~F.col("doc_id").isNull()).alias("some"),

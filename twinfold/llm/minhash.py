@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import Bytes, Rolling, batches, mixed, pick, stage, stage_by
+from twinfold.llm.common import Bytes, Rolling, batches, kept_struct, mixed, stage, stage_by, with_kept
 from twinfold.llm.graph import components
 
 WORDS = 5
@@ -389,26 +389,28 @@ def link_documents(docs: DataFrame, *keep: str, forest: Forest = Forest()) -> Da
     over), kept (doc_id is component_id) and first (one row of each component: least doc_id, null last, then any).
     Rows without words are linked with nothing. Equal texts are linked, whatever their ids.
     """
-    rows = pick(docs, *dict.fromkeys([*keep, "doc_id", "text"]))
-    others = [c for c in keep if c not in ("doc_id", "text")]
-    other = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)] or [F.lit("").alias("none")])
+    others = tuple(c for c in keep if c not in ("doc_id", "text"))
+    rows, other = with_kept(docs, ["doc_id", "text"], others), kept_struct(others)
     row = F.monotonically_increasing_id().alias("row")
     texts = stage_by(rows.select(row, F.col("doc_id").alias("doc"), "text", other.alias("other")), "row", "texts")
     found = stage(near_duplicates(texts, forest), "found")
-    both = texts.join(found, "row")
-    firsts = both.select("row", "doc", "group").filter("group is not null").groupBy("group").agg(
+    # groups are settled on ids alone: texts stay where they are, and a large group is a number of small rows
+    ids = stage(texts.select("row", "doc").join(found, "row"), "ids")
+    firsts = ids.filter("group is not null").groupBy("group").agg(
         F.min("doc").alias("least"), F.min(F.struct(F.col("doc").isNull(), "doc", "row"))["row"].alias("head")
     )
-    both = both.join(firsts, "group", "left")
+    ids = ids.join(stage(firsts, "firsts"), "group", "left")
     none = F.col("group").isNull()
     component = F.when(none, F.col("doc")).otherwise(F.col("least"))
-    return both.select(
-        *[
-            F.col("doc" if c == "doc_id" else "text" if c == "text" else f"other.c{others.index(c)}").alias(c)
-            for c in keep
-        ],
+    ids = ids.select(
+        "row",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc").eqNullSafe(component).alias("kept"),
         (none | (F.col("head") == F.col("row"))).alias("first"),
     )
+    both = texts.join(stage(ids, "decided").hint("shuffle_hash"), "row")
+    own = {"doc_id": "doc", "text": "text"}
+    kept = [F.col(own.get(c) or f"other.kept{others.index(c)}").alias(f"kept{i}") for i, c in enumerate(keep)]
+    out = both.select(*kept, "n_shingles", "component_id", "kept", "first")
+    return out.toDF(*keep, "n_shingles", "component_id", "kept", "first")

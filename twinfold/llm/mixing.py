@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import WORD, numbered, pick, stage
+from twinfold.llm.common import WORD, numbered, stage, with_kept
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -151,10 +151,11 @@ def mix(units: DataFrame, targets: DataFrame, block: int = BLOCK, fan: int = FAN
 
 def document_units(docs: DataFrame, *ids: str) -> DataFrame:
     """Units of ``docs`` (text, source and the columns ``ids``): words of the text, null: 0."""
-    rows = pick(docs, *dict.fromkeys([*ids, "text", "source"]))
+    rows = with_kept(docs, ["text", "source"], ids)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.xxhash64(*[F.col(i) for i in ids], "text", "source")
-    return rows.select(F.struct(*ids).alias("doc"), "source", size.alias("size"), order.alias("order"))
+    order = F.xxhash64(*[F.col(f"kept{i}") for i in range(len(ids))], "text", "source")
+    doc = F.struct(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(ids)])
+    return rows.select(doc.alias("doc"), "source", size.alias("size"), order.alias("order"))
 
 
 def mix_documents(docs: DataFrame, *ids: str) -> DataFrame:

@@ -171,10 +171,10 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n"), F.max("inside").alias("whole"), F.min(one_of).alias("one"))
             .withColumn("done", F.col("whole") & (F.col("n") > 1))
         )
-        cores = classes.groupBy("core").agg(
-            F.sum("n").alias("alike"), F.max(~F.col("done")).alias("open")
-        )
-        classes = classes.join(cores.filter("alike > 1"), "core").select("core", "hull", "done", "open", "one")
+        cores = classes.groupBy("core").agg(F.sum("n").alias("alike"), F.max(~F.col("done")).alias("open"))
+        # staged, as a join can only split a frequent core if none of its sides is summed up in the same stage
+        cores = stage(cores.filter("alike > 1").drop("alike"), "cores")
+        classes = classes.join(cores, "core").select("core", "hull", "done", "open", "one")
         # a settled cell still has to be seen by unsettled ones with its core: one of each class goes on for that
         on = ~F.col("done") | (F.col("open") & (F.col("one") == one_of))
         ranked = ranked.join(classes, ["core", "hull"]).select("row", "at", "near", "far", "done", on.alias("on"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import batches, pick, stage
+from twinfold.llm.common import batches, pick, stage, with_kept
 
 #: Labelled documents that the model is learned from, at most; chosen by a hash of their ids.
 SAMPLE = 20_000
@@ -379,8 +379,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, *keep: str, most: int =
     ``labels`` (doc_id, toxic) may be empty; then the prior lexicon and weights hold. A null id is not held out.
     """
     model = learn(docs, labels, most)
-    rows = pick(docs, *dict.fromkeys([*keep, "doc_id", "text"]))
-    rows = rows.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], held_out(F.col("doc_id")).alias("held_out"),
-                       score(model, F.col("text")).alias("score"))
+    rows = with_kept(docs, ["doc_id", "text"], keep)
+    rows = rows.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("score", score(model, F.col("text")))
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
-    return rows.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "held_out", "score", predicted)
+    rows = rows.select(*[f"kept{i}" for i in range(len(keep))], "held_out", "score", predicted)
+    return rows.toDF(*keep, "held_out", "score", "predicted")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import pick, stage
+from twinfold.llm.common import stage, with_kept
 
 DAMPING = 0.85
 ROUNDS = 12
@@ -110,7 +110,7 @@ def judge_pages(pages: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES) -
 
     A null url or one without ``://`` has an empty host and path, fits no rule and is allowed. Null html has no links.
     """
-    rows = pick(pages, *dict.fromkeys([*keep, "url", "html"]))
+    rows = with_kept(pages, ["url", "html"], keep)
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rows = rows.withColumn("host", F.coalesce(host, F.lit(""))).withColumn("path", F.coalesce(path, F.lit("")))
     name, verdict = rule_columns(F.col("host"), F.col("path"), rules)
@@ -130,4 +130,6 @@ def judge_pages(pages: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES) -
     hosts = score.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     judged = ruled.drop("html").join(hosts, "host", "left").fillna(0.0, ["trust", "distrust"])
     own = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
-    return judged.select(*keep, "url", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "trust", "distrust")
+    shown = ["url", "host", "path", "rule", "verdict", "trust", "distrust"]
+    judged = judged.withColumn("verdict", F.coalesce("ruled", own))
+    return judged.select(*[f"kept{i}" for i in range(len(keep))], *shown).toDF(*keep, *shown)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinfold.llm.common import mixed, pick, stage
+from twinfold.llm.common import kept_struct, mixed, stage, with_kept
 from twinfold.llm.graph import components
 
 THRESHOLD = 0.9
@@ -294,8 +294,8 @@ def link_vectors(rows: DataFrame, vector: str, *keep: str) -> DataFrame:
     are passed over), kept (vec_id is component_id). Vectors that are null, empty or zero, or hold null or non-finite
     components, are linked with nothing, and so are vectors of different lengths. Equal vectors are linked.
     """
-    flat = pick(rows, *dict.fromkeys([*keep, "vec_id", vector]))
-    doc = F.struct(F.col("vec_id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+    flat = with_kept(rows, ["vec_id", vector], keep)
+    doc = F.struct(F.col("vec_id"), kept_struct(keep).alias("kept"))
     flat = flat.select(F.monotonically_increasing_id().alias("row"), doc.alias("doc"), F.col(vector).alias("vector"))
     flat = flat.withColumn("vector", F.col("vector").cast("array<double>"))
     kind = T.StructType([flat.schema["row"], flat.schema["doc"], *T.StructType.fromDDL("unit binary, dims int").fields])
@@ -330,9 +330,10 @@ def link_vectors(rows: DataFrame, vector: str, *keep: str) -> DataFrame:
     n = F.coalesce(F.col("links"), F.lit(0)) + F.coalesce(F.col("weight"), F.lit(1)) - 1
     id_ = F.col("doc.vec_id")
     component = F.when(F.col("group").isNull(), id_).otherwise(F.col("least"))
-    return full.select(
-        *[F.col("doc")[f"c{i}"].alias(c) for i, c in enumerate(keep)],
+    out = full.select(
+        *[F.col("doc.kept")[f"kept{i}"].alias(f"kept{i}") for i in range(len(keep))],
         n.alias("n_links"),
         component.alias("component_id"),
         id_.eqNullSafe(component).alias("kept"),
     )
+    return out.toDF(*keep, "n_links", "component_id", "kept")
