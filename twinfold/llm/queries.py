@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import chat, fuzzyhash, minhash, mixing, packing, pieces, repeats, toxicity, urls, vectors
+from twinfold.llm import chat, fuzzyhash, minhash, mixing, oracles, packing, pieces, repeats, toxicity, urls, vectors
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,7 +39,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, labels, "doc_id")
 
 
-@query("op3_lsh_forest")
+@query("op3_lsh_forest", oracles.NEAR_DOCUMENTS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = minhash.link_documents(table(spark, sf_dir, "documents"), "doc_id")
     return linked.select("doc_id", "n_shingles", "component_id", "kept")
@@ -83,7 +83,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumns({c: F.sha2(c, 256) for c in ("ids", "positions")})
 
 
-@query("op9_neighbour_descent")
+@query("op9_neighbour_descent", oracles.NEAR_VECTORS)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
 
@@ -92,7 +92,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
-@query("op10_chat_examples")
+@query("op10_chat_examples", oracles.CHAT_EXAMPLES)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     more = spark.createDataFrame(CONTROL_TURNS, turns.schema)
