@@ -2,10 +2,15 @@
 
 Each vector starts with the nearest of a few random-projection leaves. A round joins the lists over shared
 neighbours: who is on a list, or has it on its own, is compared with all others there, and every vector keeps its
-nearest. Lists whose last entry is still above the threshold are saturated and grow. The graph is audited against
+nearest. Lists whose last entry is still above the threshold are saturated and grow. Whatever is compared and reaches
+the threshold joins its ends' components, also where it is pushed out of a full list. Vectors whose lists were full of
+links may have others that no list has room for: components are searched for links between such vectors exactly, in
+blocks, where the angle between their centres leaves room for one.
+
+The graph is audited against
 brute force for a fixed number of vectors; below ``RECALL`` it is refined with new leaves.
 
-Edges at the threshold give components, and every link has both ends in one. So the links of each vector are then
+Every link has both ends in one component. So the links of each vector are then
 counted exactly inside its component, which also serves those whose neighbours outnumber any list. Angles are
 metric: all members within half the threshold's angle of their component's centre are linked with each other and are
 only counted; the others are compared with the component in blocks.
@@ -87,10 +92,22 @@ def _leaves(seed: int, bits: int):
     return leaves
 
 
-def _nearest(ids: np.ndarray, x: np.ndarray, most: np.ndarray, floor: np.ndarray) -> tuple:
+def _joined(ids: np.ndarray, linked: np.ndarray) -> tuple:
+    """Pairs that join what the links of a group join: each member with the first of its component."""
+    n = len(ids)
+    first = np.arange(n)
+    while True:
+        new = np.minimum(first, np.where(linked, first[None, :], n).min(axis=1))
+        new = new[new]
+        if (new == first).all():
+            break
+        first = new
+    some = first != np.arange(n)
+    return ids[some], ids[first[some]], np.full(int(some.sum()), np.nan)
+
+
+def _nearest(ids: np.ndarray, cos: np.ndarray, most: np.ndarray, floor: np.ndarray) -> tuple:
     """For each row the ids of its nearest others above its floor: (of, other, cosine)."""
-    cos = x @ x.T
-    np.fill_diagonal(cos, -2.0)
     take = min(int(most.max()), len(ids) - 1)
     order = np.argpartition(-cos, take - 1, axis=1)[:, :take] if take < len(ids) - 1 else np.argsort(-cos, axis=1)[:, :take]
     of = np.repeat(np.arange(len(ids)), order.shape[1])
@@ -101,7 +118,8 @@ def _nearest(ids: np.ndarray, x: np.ndarray, most: np.ndarray, floor: np.ndarray
 
 
 def _join(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the members of each group with each other: candidates (node, near, cos)."""
+    """Compare the members of each group with each other: candidates (node, near, cos), and pairs in one component
+    with null for cos."""
     for batch in rows:
         found = []
         for group in batch.column("members").to_pylist():
@@ -114,10 +132,16 @@ def _join(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ids = np.array([m["node"] for m in some])
                     x = np.frombuffer(b"".join(m["unit"] for m in some), "<f8").reshape(len(some), -1)
                     floor, most = np.array([m["floor"] for m in some]), np.array([m["most"] for m in some])
-                    found.append(_nearest(ids, x, most, floor))
+                    cos = x @ x.T
+                    np.fill_diagonal(cos, -2.0)
+                    found.append(_nearest(ids, cos, most, floor))
+                    linked = cos >= THRESHOLD
+                    if linked.any():
+                        found.append(_joined(ids, linked))
         if found:
             node, near, cos = (np.concatenate(c) for c in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(near), pa.array(cos)], ["node", "near", "cos"])
+            cos = pa.array(cos, from_pandas=True)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(near), cos], ["node", "near", "cos"])
 
 
 _PAIR = "node long, near long, cos double"
@@ -158,14 +182,18 @@ def _refine(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     return groups.select("members").mapInArrow(_join, _PAIR)
 
 
-def neighbour_lists(nodes: DataFrame, seed: int, count: int, known: DataFrame | None = None) -> DataFrame:
-    """Nearest neighbours (node, most, list) of ``nodes`` (node, unit, dims) by NN-descent."""
+def neighbour_lists(nodes: DataFrame, seed: int, count: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nearest neighbours (node, most, list) of ``nodes`` (node, unit, dims) by NN-descent, and pairs (a, b) that join
+    the ends of every compared pair at the threshold."""
     most = nodes.select("node", F.lit(LIST).alias("most")) if known is None else known.select("node", "most")
     flat = lambda x: x.select("node", F.explode("list").alias("e")).select("node", "e.near", "e.cos")
-    found = _start(nodes, seed, count)
+    near, joined = F.col("cos").isNotNull(), F.col("cos").isNull()
+    found = stage(_start(nodes, seed, count), "leafed")
+    edges, found = found.filter(joined), found.filter(near)
     lists = stage(_top(found if known is None else found.union(flat(known)), most), "lists")
     for _ in range(ROUNDS):
         new = stage(_refine(lists, nodes), "nearer")
+        edges, new = edges.union(new.filter(joined)), new.filter(near)
         before = lists
         saturated = (F.size("list") >= F.col("most")) & (F.element_at("list", -1)["cos"] >= THRESHOLD)
         grown = F.when(saturated, F.least(F.col("most") * 2, F.lit(LONGEST))).otherwise(F.col("most"))
@@ -174,7 +202,8 @@ def neighbour_lists(nodes: DataFrame, seed: int, count: int, known: DataFrame |
         entries = flat(lists).join(flat(before), ["node", "near"], "left_anti").count()
         if entries <= SETTLED * LIST * count:
             break
-    return lists
+    edges = edges.select(F.least("node", "near").alias("a"), F.greatest("node", "near").alias("b"))
+    return lists, edges.distinct()
 
 
 def _missed(rows: Iterator[pa.RecordBatch], queries: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +236,83 @@ def audit(nodes: DataFrame, groups: DataFrame) -> tuple[float, DataFrame]:
     return (good / total if total else 1.0), links.select("a", "b")
 
 
+def _angles(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Angle of each vector with its component's centre."""
+    for batch in rows:
+        angle = []
+        for unit, sums in zip(batch.column("unit").to_pylist(), batch.column("sums").to_pylist()):
+            c = np.array(sums)
+            length = math.sqrt(float(c @ c))
+            cos = float(np.frombuffer(unit, "<f8") @ c) / length if length > 0 else -1.0
+            angle.append(math.acos(max(-1.0, min(1.0, cos))))
+        columns = [batch.column(c) for c in ("component", "dims", "sums")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(angle, pa.float64())], ["component", "dims", "sums", "angle"])
+
+
+def _near_balls(block: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of components of two blocks that are near enough for a link."""
+    left, right = block[block["left"]], block[~block["left"]]
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": [], "b": []}).astype("int64")
+    x, y = np.stack(left["sums"].to_list()), np.stack(right["sums"].to_list())
+    x, y = (c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300) for c in (x, y))
+    angle = np.arccos(np.clip(x @ y.T, -1, 1)) - left["radius"].to_numpy()[:, None] - right["radius"].to_numpy()[None, :]
+    a, b = left["component"].to_numpy(), right["component"].to_numpy()
+    p, q = np.nonzero((angle <= math.acos(THRESHOLD) + 1e-6) & (a[:, None] != b[None, :]))
+    return pd.DataFrame({"a": np.minimum(a[p], b[q]), "b": np.maximum(a[p], b[q])})
+
+
+def _any_link(block: pd.DataFrame) -> pd.DataFrame:
+    """One row if some vectors of the two sides are linked."""
+    left, right = block[block["left"]], block[~block["left"]]
+    x, y = (np.frombuffer(b"".join(s["unit"]), "<f8").reshape(len(s), -1) if len(s) else None for s in (left, right))
+    linked = x is not None and y is not None and bool((x @ y.T >= THRESHOLD).any())
+    return block[["a", "b"]].head(1 if linked else 0)
+
+
+def crowded_links(nodes: DataFrame, groups: DataFrame, lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) that join all components with a link between two vectors whose first lists were full of links.
+
+    Only the others' lists are sure to have room for a link. All pairs of such vectors are compared, but for those of
+    components whose centres are too far apart for any link.
+    """
+    none = nodes.sparkSession.createDataFrame([], "a long, b long")
+    crowded = lists.filter(F.size(F.filter("list", lambda e: e["cos"] >= THRESHOLD)) >= LIST).select("node")
+    inside = stage(nodes.select("node", "unit", "dims").join(crowded, "node").join(groups, "node"), "crowded")
+    balls = inside.join(_centres(inside), "component").mapInArrow(
+        _angles, "component long, dims int, sums array<double>, angle double"
+    )
+    balls = balls.groupBy("component").agg(
+        F.max("dims").alias("dims"), F.first("sums").alias("sums"), F.max("angle").alias("radius"), F.count("*").alias("size")
+    )
+    balls = stage(balls, "balls")
+    count = balls.count()
+    if count < 2:
+        return none
+    blocks = math.ceil(count / BLOCK)
+    mine = F.expr(f"cast(pmod(xxhash64(component), {blocks}) as int)")
+    columns = ["dims", "i", "j", "component", "sums", "radius", "left"]
+    left = balls.withColumn("i", mine).withColumn("j", F.explode(F.sequence("i", F.lit(blocks - 1))))
+    right = balls.withColumn("j", mine).withColumn("i", F.explode(F.sequence(F.lit(0), "j")))
+    both = left.withColumn("left", F.lit(True)).select(*columns).union(right.withColumn("left", F.lit(False)).select(*columns))
+    near = stage(both.groupBy("dims", "i", "j").applyInPandas(_near_balls, "a long, b long").distinct(), "near")
+    if near.isEmpty():
+        return none
+    for side in ("a", "b"):
+        part = F.ceil(F.col("size") / BLOCK).cast("int").alias(f"{side}_parts")
+        near = near.join(balls.select(F.col("component").alias(side), part), side)
+    near = stage(near, "near")
+    sides = []
+    for side, own, other in (("a", "p", "q"), ("b", "q", "p")):
+        rows = inside.withColumnRenamed("component", side).join(near, side)
+        rows = rows.withColumn(own, F.expr(f"cast(pmod(xxhash64(node), {side}_parts) as int)"))
+        others = "b_parts" if side == "a" else "a_parts"
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+        sides.append(rows.withColumn("left", F.lit(side == "a")).select("a", "b", "p", "q", "unit", "left"))
+    found = sides[0].union(sides[1]).groupBy("a", "b", "p", "q").applyInPandas(_any_link, "a long, b long")
+    return stage(found.distinct(), "between")
+
+
 def _sums(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum of the vectors of each component in a task."""
     total: dict[int, np.ndarray] = {}
@@ -253,15 +359,20 @@ def _count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([out, back]).query("links > 0")
 
 
-def count_links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, links): exact number of vectors that each node (node, weight, unit) of a component is linked with."""
-    inside = nodes.select("node", "weight", "unit").join(groups, "node")
+def _centres(inside: DataFrame) -> DataFrame:
+    """(component, sums): sum of the vectors of each component of ``inside`` (component, unit)."""
     sums = inside.select("component", "unit").mapInArrow(_sums, "component long, sums array<double>")
     at = sums.select("component", F.posexplode("sums").alias("place", "x"))
     at = at.groupBy("component", "place").agg(F.sum("x").alias("x"))
-    centre = at.groupBy("component").agg(
+    return at.groupBy("component").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "x"))), lambda e: e["x"]).alias("sums")
     )
+
+
+def count_links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, links): exact number of vectors that each node (node, weight, unit) of a component is linked with."""
+    inside = nodes.select("node", "weight", "unit").join(groups, "node")
+    centre = _centres(inside)
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     both = inside.join(centre.join(sizes, "component"), "component")
     kind = "component long, node long, weight long, unit binary, size long, core boolean"
@@ -308,11 +419,13 @@ def link_vectors(rows: DataFrame, vector: str, *keep: str) -> DataFrame:
     links = nodes.sparkSession.createDataFrame([], "a long, b long")
     groups = nodes.sparkSession.createDataFrame([], "node long, component long")
     while count > 1:
-        lists = neighbour_lists(nodes, seed, count, lists)
-        near = lists.select("node", F.explode("list").alias("e")).filter(F.col("e.cos") >= THRESHOLD)
-        near = near.select(F.least("node", "e.near").alias("a"), F.greatest("node", "e.near").alias("b"))
+        lists, near = neighbour_lists(nodes, seed, count, lists)
         links = stage(links.union(near).distinct(), "links")
         groups = components(links)
+        more = crowded_links(nodes, groups, lists)
+        if not more.isEmpty():
+            links = links.union(more)
+            groups = components(links)
         recall, true = audit(nodes, groups)
         if recall < 1:
             links = links.union(true.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
