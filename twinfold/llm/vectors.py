@@ -7,8 +7,8 @@ the threshold joins its ends' components, also where it is pushed out of a full
 links may have others that no list has room for: components are searched for links between such vectors exactly, in
 blocks, where the angle between their centres leaves room for one.
 
-The graph is audited against
-brute force for a fixed number of vectors; below ``RECALL`` it is refined with new leaves.
+The components are audited against brute force, over a sample that grows with the table and adds nothing to them; below
+``RECALL`` there are new leaves, and after ``SEEDS`` of these all vectors are compared, in blocks.
 
 Every link has both ends in one component. So the links of each vector are then
 counted exactly inside its component, which also serves those whose neighbours outnumber any list. Angles are
@@ -39,8 +39,15 @@ LEAF = 128
 ROUNDS = 6
 #: A round that changes a smaller part of all list entries is the last.
 SETTLED = 0.01
+#: Vectors of the audit: at least so many of all and of those that are likely linked, and so many times the root of the table.
 AUDIT = 256
+AUDIT_ROOTS = 4
+#: A vector whose nearest one is less than this below the threshold is likely linked.
+CLOSE = 0.1
 RECALL = 0.98
+SEEDS = 4
+#: Vectors that are compared with the whole table in one pass.
+PASS = 4096
 BLOCK = 512
 
 
@@ -206,34 +213,70 @@ def neighbour_lists(nodes: DataFrame, seed: int, count: int, known: DataFrame |
     return lists, edges.distinct()
 
 
-def _missed(rows: Iterator[pa.RecordBatch], queries: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+def _true_links(rows: Iterator[pa.RecordBatch], queries: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
+    """Number of links between each query and the vectors of each component in a batch."""
     for batch in rows:
         dims = batch.column("dims").to_numpy(zero_copy_only=False)
         node = batch.column("node").to_numpy(zero_copy_only=False)
-        for d, (ids, x) in queries.items():
-            which = np.nonzero(dims == d)[0]
-            if len(which):
+        group = batch.column("component").to_numpy(zero_copy_only=False)
+        for d, (ids, own, x) in queries.items():
+            same = np.nonzero(dims == d)[0]
+            for at in range(0, len(same), BLOCK):
+                which = same[at : at + BLOCK]
                 q, r = np.nonzero(x @ _unit(batch.column("unit").take(pa.array(which))).T >= THRESHOLD)
-                a, b = ids[q], node[which][r]
-                keep = a != b
-                yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
-
-
-def audit(nodes: DataFrame, groups: DataFrame) -> tuple[float, DataFrame]:
-    """Share of the true links of ``AUDIT`` vectors whose ends are in one component, and all true links of these."""
-    chosen = nodes.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(AUDIT).select("node", "unit", "dims").collect()
-    queries = {}
-    for d in {r.dims for r in chosen}:
-        some = [r for r in chosen if r.dims == d]
-        x = np.frombuffer(b"".join(bytes(r.unit) for r in some), "<f8").reshape(len(some), -1)
-        queries[d] = np.array([r.node for r in some]), x
-    rows = nodes.select("node", "unit", "dims").mapInArrow(lambda it: _missed(it, queries), "a long, b long")
-    links = stage(rows, "audit")
-    for side in ("a", "b"):
-        own = groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-        links = links.join(own, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
-    total, good = links.agg(F.count("*"), F.sum((F.col("of_a") == F.col("of_b")).cast("long"))).first()
-    return (good / total if total else 1.0), links.select("a", "b")
+                r = which[r]
+                other = ids[q] != node[r]
+                if other.any():
+                    pairs, n = np.unique(np.stack([ids[q], own[q], group[r]])[:, other], axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, pairs), pa.array(n)], ["a", "of_a", "of_b", "n"])
+
+
+def _against_all(placed: DataFrame, some: DataFrame) -> Iterator[DataFrame]:
+    """Links (a, of_a, of_b, n) of the vectors ``some`` with all of ``placed`` (node, unit, dims, component), pass by pass."""
+    passes = max(1, math.ceil(some.count() / PASS))
+    for k in range(passes):
+        mine = some.filter(F.expr(f"pmod(xxhash64(node, 6), {passes}) = {k}")).collect()
+        queries = {}
+        for d in {r.dims for r in mine}:
+            own = [r for r in mine if r.dims == d]
+            x = np.frombuffer(b"".join(bytes(r.unit) for r in own), "<f8").reshape(len(own), -1)
+            queries[d] = np.array([r.node for r in own]), np.array([r.component for r in own]), x
+        compare = lambda it, queries=queries: _true_links(it, queries)
+        yield stage(placed.mapInArrow(compare, "a long, of_a long, of_b long, n long"), "compared")
+
+
+def _placed(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Vectors with their components; one without links is a component of its own."""
+    both = nodes.select("node", "unit", "dims").join(groups, "node", "left")
+    return both.withColumn("component", F.coalesce("component", "node"))
+
+
+def audit(nodes: DataFrame, groups: DataFrame, lists: DataFrame, count: int) -> float:
+    """Share of the true links of a sample whose ends are in one component.
+
+    The sample is drawn from all vectors and, as few of these may have links, from those that are likely linked; the
+    lower share of both counts.
+    """
+    placed = stage(_placed(nodes, groups), "placed")
+    close = lists.filter(F.element_at("list", 1)["cos"] >= THRESHOLD - CLOSE).select("node")
+    size = max(AUDIT, math.ceil(AUDIT_ROOTS * math.sqrt(count)))
+    recall = 1.0
+    for rows, total in ((placed, count), (placed.join(close, "node", "left_semi"), close.count())):
+        share = min(1.0, size / max(1, total))
+        some = rows.filter(F.expr(f"pmod(xxhash64(node, 5), {1 << 30}) < {math.ceil(share * (1 << 30))}"))
+        for links in _against_all(placed, stage(some, "asked")):
+            n, good = links.agg(F.sum("n"), F.sum(F.when(F.col("of_a") == F.col("of_b"), F.col("n")).otherwise(0))).first()
+            recall = min(recall, good / n if n else 1.0)
+    return recall
+
+
+def all_links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) that join all components between which there is a link: each vector is compared with each."""
+    placed = stage(_placed(nodes, groups), "placed")
+    found = nodes.sparkSession.createDataFrame([], "a long, b long")
+    for links in _against_all(placed, placed):
+        found = found.union(links.filter("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    return found.distinct()
 
 
 def _angles(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,11 +469,10 @@ def link_vectors(rows: DataFrame, vector: str, *keep: str) -> DataFrame:
         if not more.isEmpty():
             links = links.union(more)
             groups = components(links)
-        recall, true = audit(nodes, groups)
-        if recall < 1:
-            links = links.union(true.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-            groups = components(links)
-        if recall >= RECALL or seed >= 4:
+        if audit(nodes, groups, lists, count) >= RECALL:
+            break
+        if seed >= SEEDS:
+            groups = components(links.union(all_links(nodes, groups)))
             break
         seed += 1
     counted = count_links(nodes, groups) if count > 1 else groups.select("node", F.lit(0).cast("long").alias("links"))
