@@ -8,8 +8,8 @@ Inside a region every class is a neighbour of those with the longest agreement:
 takes the largest estimated similarities first, and the links to the region's most central class. The latter matters
 for copies of one original that are all near to it but not to each other; for a large region it is found by agreement
 with a few pivots, in one pass. Pairs are confirmed by the exact intersection of both sets. Then the components are
-known, and regions that still hold several are searched again for pairs across them that were not tried before, until
-a round finds no link.
+known, and regions that still hold several are searched again for pairs across them that were not tried before, more
+of them in each round, until none is left.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ ERRORS = 5
 SURE = 0.92
 PIVOTS = 8
 CHUNK = 256
+#: Pairs between two components that a round tries: so many times those of the round before.
+FASTER = 16
 
 _WORD = Rolling(31)
 _DRAW = np.random.default_rng(32)
@@ -172,8 +174,43 @@ def _regions(classes: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
     return regions, wide
 
 
-def _spanning(ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set], likely: int) -> list[tuple[int, int]]:
-    """Pairs of a region to confirm: to its central class, and of a spanning tree by estimated similarity."""
+def _forests(a: list, b: list, tries: int, sure: list[tuple], tried: list[bool]) -> list[int]:
+    """Places of the pairs of groups (a, b) that up to ``tries`` spanning forests take, each of what others left.
+
+    ``sure`` are groups that count as linked. Pairs that are tried anyway join groups in the first forest only.
+    """
+    out, left = [], range(len(a))
+    for _ in range(tries):
+        root: dict = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        def joins(x, y) -> bool:
+            x, y = top(x), top(y)
+            root[max(x, y)] = min(x, y)
+            return x != y
+
+        for x, y in sure:
+            joins(x, y)
+        rest, before = [], len(out)
+        for k in left:
+            if not joins(a[k], b[k]):
+                rest.append(k)
+            elif not tried[k]:
+                out.append(k)
+        left = [k for k in rest if not tried[k]]
+        if not left or (len(out) == before and len(left) == len(rest)):
+            break
+    return out
+
+
+def _spanning(
+    ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set], likely: int, tries: int = 1
+) -> list[tuple[int, int]]:
+    """Pairs of a region to confirm: to its central class, and of spanning trees by estimated similarity."""
     n = len(ids)
     agree = np.zeros((n, n), np.int32)
     for i in range(n):
@@ -188,27 +225,17 @@ def _spanning(ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: lis
     hub = int(agree.sum(axis=1).argmax())
     pairs = {(hub, int(j)) for j in np.nonzero(open_[hub])[0]}
     a, b = np.nonzero(np.triu(open_, 1))
-    root = {g: g for g in group.tolist()}
-
-    def top(x):
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for _, j in pairs:  # these are as good as linked; if one is not, the next round sees it
-        if agree[hub, j] >= SURE * VALUES:
-            x, y = top(int(group[hub])), top(int(group[j]))
-            root[max(x, y)] = min(x, y)
-    for k in np.argsort(-agree[a, b], kind="stable").tolist():
-        x, y = top(int(group[a[k]])), top(int(group[b[k]]))
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            if (hub, int(b[k])) not in pairs and (hub, int(a[k])) not in pairs:
-                pairs.add((int(a[k]), int(b[k])))
+    # these are as good as linked; if one is not, the next round sees it
+    sure = [(int(group[hub]), int(group[j])) for _, j in pairs if agree[hub, j] >= SURE * VALUES]
+    order = np.argsort(-agree[a, b], kind="stable")
+    a, b = a[order], b[order]
+    tried = ((a == hub) | (b == hub)).tolist()
+    for k in _forests(group[a].tolist(), group[b].tolist(), tries, sure, tried):
+        pairs.add((int(a[k]), int(b[k])))
     return [(i, j) for i, j in pairs]
 
 
-def _search(likely: int):
+def _search(likely: int, tries: int):
     def search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, 4 << 20):
             found = []
@@ -220,7 +247,7 @@ def _search(likely: int):
                 signs = np.frombuffer(b"".join(r["sign"] for r in region), "<u4").reshape(-1, VALUES)
                 group = np.array([r["group"] for r in region])
                 failed = [set(r["failed"] or ()) for r in region]
-                found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed, likely)]
+                found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed, likely, tries)]
             if found:
                 hub, other = zip(*found)
                 pairs = [pa.array(hub, pa.int64()), pa.array(other, pa.int64())]
@@ -267,6 +294,18 @@ def _hub_pairs(wide: DataFrame, likely: int) -> DataFrame:
     return both.mapInArrow(_near_hub(likely), "hub long, other long")
 
 
+def _labelled(rows: DataFrame, groups: DataFrame | None, failed: DataFrame | None) -> DataFrame:
+    """Classes with their component so far (group) and those of their pairs that were tried and are none (failed)."""
+    if failed is None:
+        return rows.withColumn("group", F.col("id")).withColumn("failed", F.lit(None).cast("array<long>"))
+    if groups is None:
+        rows = rows.withColumn("group", F.col("id"))
+    else:
+        rows = rows.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+        rows = rows.withColumn("group", F.coalesce("component", "id")).drop("component")
+    return rows.join(failed, "id", "left")
+
+
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(rows, 2 << 20):
         sets = shingle_sets(Bytes(batch.column("text")))
@@ -346,16 +385,11 @@ def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
     members = stage(members, "members")
     groups = failed = links = None
     more = None if wide.isEmpty() else _hub_pairs(wide, forest.likely)
+    tries = 1
     while True:
-        rows = members
-        if groups is None:
-            rows = rows.withColumn("group", F.col("id")).withColumn("failed", F.lit(None).cast("array<long>"))
-        else:
-            rows = rows.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
-            rows = rows.withColumn("group", F.coalesce("component", "id")).drop("component")
-            rows = rows.join(failed, "id", "left")
+        rows = _labelled(members, groups, failed)
         rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed")).alias("rows"))
-        pairs = rows.select("rows").mapInArrow(_search(forest.likely), "hub long, other long")
+        pairs = rows.select("rows").mapInArrow(_search(forest.likely, tries), "hub long, other long")
         pairs = pairs if more is None else pairs.union(more)
         least, most = F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
         pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
@@ -363,12 +397,12 @@ def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
         pairs, more = stage(pairs, "pairs"), None
         if pairs.isEmpty():
             break
+        tries *= FASTER
         tried = _confirmed(pairs, texts, classes, forest.alike)
         new = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
-        if new.isEmpty():
-            break
-        links = new if links is None else links.union(new)
-        groups = components(links)
+        if not new.isEmpty():
+            links = new if links is None else links.union(new)
+            groups = components(links)
         off = tried.filter("not linked").groupBy(F.col("other").alias("id")).agg(F.collect_list("hub").alias("failed"))
         if failed is not None:
             off = failed.union(off).groupBy("id").agg(F.flatten(F.collect_list("failed")).alias("failed"))
