@@ -9,7 +9,8 @@ takes the largest estimated similarities first, and the links to the region's mo
 for copies of one original that are all near to it but not to each other; for a large region it is found by agreement
 with a few pivots, in one pass. Pairs are confirmed by the exact intersection of both sets. Then the components are
 known, and regions that still hold several are searched again for pairs across them that were not tried before, more
-of them in each round, until none is left.
+of them in each round, until none is left. Last, the large regions are searched as they are in the same way: what is
+outside the largest component of a region is compared with the whole region, in blocks.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ ERRORS = 5
 SURE = 0.92
 PIVOTS = 8
 CHUNK = 256
+#: Classes of a block where a large region is compared.
+BLOCK = 512
 #: Pairs between two components that a round tries: so many times those of the round before.
 FASTER = 16
 
@@ -306,6 +309,51 @@ def _labelled(rows: DataFrame, groups: DataFrame | None, failed: DataFrame | Non
     return rows.join(failed, "id", "left")
 
 
+def _between(likely: int, tries: int):
+    def between(block: pd.DataFrame) -> pd.DataFrame:
+        left, right = block[block["left"]], block[~block["left"]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"hub": [], "other": []}).astype("int64")
+        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
+        x, y = (np.frombuffer(b"".join(s["sign"]), "<u4").reshape(-1, VALUES) for s in (left, right))
+        agree = np.stack([(y == one).sum(axis=1, dtype=np.int16) for one in x])
+        open_ = (left["group"].to_numpy()[:, None] != right["group"].to_numpy()[None, :]) & (agree >= likely)
+        place, other_place = {c: i for i, c in enumerate(ids.tolist())}, {c: i for i, c in enumerate(others.tolist())}
+        for i, some in enumerate(left["failed"]):
+            open_[i, [other_place[c] for c in (some if some is not None else ()) if c in other_place]] = False
+        for j, some in enumerate(right["failed"]):
+            open_[[place[c] for c in (some if some is not None else ()) if c in place], j] = False
+        a, b = np.nonzero(open_)
+        order = np.argsort(-agree[a, b], kind="stable")
+        a, b = a[order], b[order]
+        one, two = left["group"].to_numpy()[a].tolist(), right["group"].to_numpy()[b].tolist()
+        take = _forests(one, two, tries, [], [False] * len(a))
+        return pd.DataFrame({"hub": ids[a[take]], "other": others[b[take]]}).astype("int64")
+
+    return between
+
+
+def _wide_pairs(
+    wide: DataFrame, groups: DataFrame | None, failed: DataFrame | None, likely: int, tries: int
+) -> DataFrame:
+    """Pairs of large regions between components: classes outside a region's largest one against all, in blocks."""
+    rows = _labelled(wide.select("key", "id", "sign"), groups, failed)
+    sizes = rows.groupBy("key", "group").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("size"))
+    blocks = [F.ceil(n / BLOCK).cast("int") for n in (F.col("size") - F.col("top.n"), F.col("size"))]
+    sizes = sizes.filter(F.col("size") > F.col("top.n")).select("key", F.col("top.group").alias("main"), *[
+        n.alias(c) for n, c in zip(blocks, ("parts", "all_parts"))
+    ])
+    rows = stage(rows.join(sizes, "key"), "open")
+    columns = ["key", "i", "j", "id", "sign", "group", "failed", "left"]
+    left = rows.filter(F.col("group") != F.col("main")).withColumn("i", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("all_parts") - 1))).withColumn("left", F.lit(True))
+    right = rows.withColumn("j", F.expr("cast(pmod(xxhash64(id), all_parts) as int)"))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("left", F.lit(False))
+    both = left.select(*columns).union(right.select(*columns))
+    return both.groupBy("key", "i", "j").applyInPandas(_between(likely, tries), "hub long, other long")
+
+
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(rows, 2 << 20):
         sets = shingle_sets(Bytes(batch.column("text")))
@@ -384,19 +432,26 @@ def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
     members = sets.select("region", F.explode("ids").alias("id")).join(classes.select("id", "sign"), "id")
     members = stage(members, "members")
     groups = failed = links = None
-    more = None if wide.isEmpty() else _hub_pairs(wide, forest.likely)
-    tries = 1
+    narrow = wide.isEmpty()
+    more = None if narrow else _hub_pairs(wide, forest.likely)
+    tries, last = 1, False
     while True:
-        rows = _labelled(members, groups, failed)
-        rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed")).alias("rows"))
-        pairs = rows.select("rows").mapInArrow(_search(forest.likely, tries), "hub long, other long")
+        if last:
+            pairs = _wide_pairs(wide, groups, failed, forest.likely, tries)
+        else:
+            rows = _labelled(members, groups, failed)
+            rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed")).alias("rows"))
+            pairs = rows.select("rows").mapInArrow(_search(forest.likely, tries), "hub long, other long")
         pairs = pairs if more is None else pairs.union(more)
         least, most = F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
         pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
         pairs = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
         pairs, more = stage(pairs, "pairs"), None
         if pairs.isEmpty():
-            break
+            if last or narrow:
+                break
+            last = True
+            continue
         tries *= FASTER
         tried = _confirmed(pairs, texts, classes, forest.alike)
         new = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
