@@ -73,7 +73,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentence_pieces")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
-    encoded = pieces.encode_documents(docs.select(F.struct("doc_id").alias("doc"), "text"), with_text=False)
+    rows = docs.select(F.struct("doc_id").alias("doc"), "text")
+    encoded = pieces.encode_documents(rows, one_in=1, with_text=False)
     return encoded.select("doc.doc_id", "n_tokens", "ids", "exact", "parity")
 
 
