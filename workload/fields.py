@@ -187,9 +187,10 @@ def _(spark, sf):
 @query("P20_utf8_check", """SELECT doc_id, strlen(text) <= k OR list_contains([strlen(text[1:m]) for m in range(0, k + 1)], k) AS valid
     FROM (SELECT doc_id, text, 9 + doc_id % 40 AS k FROM documents)""")
 def _(spark, sf):
-    """Bytes of a text up to a place that may lie inside a character."""
-    cut = F.substring(F.encode("text", "UTF-8"), F.lit(1), (9 + F.col("doc_id") % 40).cast("int")).cast("string")
-    return table(spark, sf, "documents").select("doc_id", T.valid_utf8(cut).alias("valid"))
+    """All bytes of a text, with a blank put in at a place that may lie inside a character."""
+    raw, at = F.col("text").cast("binary"), (9 + F.col("doc_id") % 40).cast("int")
+    broken = F.concat(F.substring(raw, F.lit(1), at), F.lit(b" "), F.substring(raw, at + 1, F.length(raw))).cast("string")
+    return table(spark, sf, "documents").select("doc_id", T.valid_utf8(broken).alias("valid"))
 
 
 # --- validation -----------------------------------------------------------------------------
