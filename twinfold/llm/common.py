@@ -65,12 +65,16 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage_by(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Like ``stage``, dealt out by the hash of a key, so that later joins on it don't move these rows again."""
-    spark, n = df.sparkSession, parts(df.sparkSession)
+def stage_by(df: DataFrame, key: str, name: str, n: int | None = None, dealt: bool = False) -> DataFrame:
+    """Like ``stage``, dealt out by the hash of a key, so that later joins on it don't move these rows again.
+
+    ``dealt`` rows lie in ``n`` such parts already. The catalog knows the table only until the frame is made.
+    """
+    spark = df.sparkSession
+    n = n or parts(spark)
     made = f"{name}_{uuid.uuid4().hex}"
     (
-        df.repartition(n, key)
+        (df if dealt else df.repartition(n, key))
         .write.bucketBy(n, key)
         .option("path", new_path(spark, name))
         .option("compression", "zstd")
@@ -78,7 +82,9 @@ def stage_by(df: DataFrame, key: str, name: str) -> DataFrame:
     )
     del df
     release(spark)
-    return spark.read.table(made)
+    made_of = spark.read.table(made)
+    spark.sql(f"DROP TABLE {made}")
+    return made_of
 
 
 class Bytes:

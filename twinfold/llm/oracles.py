@@ -69,3 +69,41 @@ NEAR_VECTORS = """
     counted AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
     SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
     FROM rows JOIN grouped USING (r) LEFT JOIN counted USING (r)"""
+
+
+def _centroid_clusters(k: int = 8, rounds: int = 10, size: int = 64) -> str:
+    """Plain k-means, every vector against every centroid in each round."""
+    ctes = [
+        f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS q
+            FROM embeddings
+            WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size})""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, q) - 1 AS c, q FROM kept
+            ORDER BY sha256('3:' || vec_id) NULLS LAST, q LIMIT {k})""",
+    ]
+    for t in range(rounds + 1):
+        ctes.append(
+            f"""a{t} AS MATERIALIZED (
+            SELECT r, min(row(d, c)) AS best FROM (
+                SELECT k.r, c.c, list_sum(list_transform(range(1, {size + 1}),
+                    lambda i: (k.q[i] - c.q[i]) * (k.q[i] - c.q[i]))) AS d FROM kept k, c{t} c)
+            GROUP BY r)"""
+        )
+        if t < rounds:
+            ctes.append(
+                f"""c{t + 1} AS MATERIALIZED (
+            SELECT o.c, coalesce(n.q, o.q) AS q FROM c{t} o LEFT JOIN (
+                SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS q FROM (
+                    SELECT best[2] AS c, i, sum(q[i])::HUGEINT AS s, count(*)::HUGEINT AS n
+                    FROM a{t} JOIN kept USING (r), range(1, {size + 1}) AS t(i) GROUP BY ALL)
+                GROUP BY c) n USING (c))"""
+            )
+    return f"""WITH {", ".join(ctes)}
+    SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+        (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(z.q, ',')) AS centroid_sha256
+    FROM (SELECT vec_id, best[2] AS c, best[1] AS d FROM a{rounds} JOIN kept USING (r)) JOIN c{rounds} z USING (c)"""
+
+
+CENTROID_CLUSTERS = _centroid_clusters()
