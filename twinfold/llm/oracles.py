@@ -107,3 +107,29 @@ def _centroid_clusters(k: int = 8, rounds: int = 10, size: int = 64) -> str:
 
 
 CENTROID_CLUSTERS = _centroid_clusters()
+
+PHRASES = f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(list_transform(
+            string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]'),
+            lambda p: list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> ''))) AS w
+        FROM documents),
+    total AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+    found AS MATERIALIZED (
+        SELECT lang, g, count(*) AS f FROM (
+            SELECT lang, w[i:i + m - 1] AS g FROM pieces, range(1, 6) AS ms(m), range(1, len(w) - m + 2) AS places(i))
+        GROUP BY ALL HAVING f >= 100),
+    counted AS MATERIALIZED (SELECT lang, len(g) AS m, g, array_to_string(g, ' ') AS phrase, f FROM found),
+    cuts AS (
+        SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n,
+            (1000::HUGEINT * c.f * n::HUGEINT) // (l.f::HUGEINT * r.f) AS score
+        FROM counted c JOIN total USING (lang), range(1, c.m) AS ks(k)
+        JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[1:k], ' ')
+        JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1:], ' ')
+        WHERE NOT EXISTS (
+            SELECT 1 FROM counted x WHERE x.lang = c.lang AND x.m > c.m AND x.f >= c.f
+                AND contains(concat(' ', x.phrase, ' '), concat(' ', c.phrase, ' '))))
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+        l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    QUALIFY rank <= 2000"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import centroids, chat, fuzzyhash, minhash, mixing, oracles, packing, pieces, repeats, toxicity, urls, vectors
+from twinfold.llm import centroids, chat, collocations, fuzzyhash, minhash, mixing, oracles, packing, pieces, repeats, toxicity, urls, vectors
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_centroid_drift", oracles.CENTROID_CLUSTERS)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", "vec_id").drop("scans")
+
+
+@query("op13_phrase_tiles", oracles.PHRASES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
