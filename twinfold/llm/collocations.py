@@ -27,7 +27,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: Bytes of text in a chunk, and numbers along the side of a tile.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 SIDE = 512
 #: A tile is counted in an array if it has at least one pair for so many cells.
 CELLS_A_PAIR = 8
@@ -53,7 +53,7 @@ def _words(texts: Bytes) -> tuple[pa.Array, np.ndarray]:
     begins = np.nonzero(inside & (heads | ~before))[0]
     after = np.append(inside[1:], False)[: len(data)]
     stops = np.nonzero(inside & (np.append(heads[1:], True)[: len(data)] | ~after))[0] + 1
-    piece = np.cumsum(cut | heads, dtype=np.int64)[begins]
+    piece = np.cumsum(cut | heads, dtype=np.int32)[begins]
     offsets = np.append(0, np.cumsum(stops - begins))
     flat = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[inside]))
     coded = flat.dictionary_encode()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from twinfold.llm import licenses
+
 # control strings that get a backslash after their first character, one for each place
 _CONTROL = [a + b for a in "<[" for b in ("|", "s>", "/s>", "INST]", "/INST]", "SYS>>", "/SYS>>", "<SYS>>", "</SYS>>")]
 
@@ -133,3 +135,45 @@ PHRASES = f"""
         l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
     FROM (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
     QUALIFY rank <= 2000"""
+
+
+def _licences() -> str:
+    """Every template at every word of every text."""
+    rows = []
+    for number, t in enumerate(licenses.TEMPLATES):
+        for place, word in enumerate(t.words):
+            rows.append(f"('{word}', {number}, {place}, {place in t.key_places()}, {len(t.key_places())}, '{t.label}', {t.base})")
+    return f"""
+    WITH postings(word, template, place, is_key, n_keys, label, base) AS (VALUES {", ".join(rows)}),
+    worded AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+        FROM documents),
+    hits AS MATERIALIZED (
+        SELECT r, i, w[i + 1] AS word FROM worded, range(0, len(w)) AS places(i)
+        WHERE w[i + 1] IN (SELECT word FROM postings)),
+    held AS (SELECT word, count(DISTINCT r) AS n FROM hits GROUP BY word),
+    weighed AS (
+        SELECT p.*, 1 + len(list_filter(range(1, {licenses.HEAVIEST + 1}),
+            lambda k: coalesce(n, 0)::HUGEINT * (1::HUGEINT << k) <= texts)) AS weight
+        FROM postings p LEFT JOIN held USING (word), (SELECT count(*) AS texts FROM documents)),
+    total AS (SELECT template, sum(weight) AS total FROM weighed GROUP BY template),
+    begins AS (
+        SELECT r, template, i - place AS start, sum(weight) AS agree, count(*) FILTER (is_key) AS keys,
+            any_value(n_keys) AS n_keys, any_value(label) AS label, any_value(base) AS base
+        FROM hits JOIN weighed USING (word) WHERE i >= place GROUP BY ALL),
+    found AS (
+        SELECT *, agree::DOUBLE / total::DOUBLE AS share FROM begins JOIN total USING (template)
+        WHERE keys = n_keys AND 100 * agree >= {licenses.LEAST} * total),
+    of_text AS (
+        SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+            max(start) FILTER (base) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+            string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+        FROM found GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+        last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+        coalesce(score, 0.0)::DOUBLE AS score
+    FROM worded LEFT JOIN of_text USING (r)"""
+
+
+LICENCES = _licences()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm import centroids, chat, collocations, fuzzyhash, minhash, mixing, oracles, packing, pieces, repeats, toxicity, urls, vectors
+from twinfold.llm import centroids, chat, collocations, fuzzyhash, licenses, minhash, mixing, oracles, packing, pieces, repeats, toxicity, urls, vectors
 from twinfold.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.union(more)))
 
 
+@query("op11_licence_index", oracles.LICENCES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), "doc_id")
+
+
 @query("op12_centroid_drift", oracles.CENTROID_CLUSTERS)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", "vec_id").drop("scans")
