@@ -185,11 +185,12 @@ def score_fields(df: DataFrame, schema: MatchSchema, exact: bool = False) -> Dat
     return df.withColumns({"matched_fields": matched, "duplicate": F.coalesce(titled & dup, F.lit(False))})
 
 
-def prepared(df: DataFrame, schema: MatchSchema, suffix: str = "") -> DataFrame:
+def prepared(df: DataFrame, schema: MatchSchema, suffix: str = "", texts: bool = False) -> DataFrame:
     """Add ``t`` and, per compared field, ``v_<f>`` (and ``g_<f>`` for dice fields).
 
     A dice value may be a whole abstract, so pairs carry its digest and its bigram
-    set instead of the text.
+    set instead of the text. With ``texts`` the text stays as ``d_<f>``, and its bigrams
+    are left to ``with_bigrams`` when it is known which rows need them.
     """
 
     def raw(name: str) -> Column:
@@ -207,8 +208,19 @@ def prepared(df: DataFrame, schema: MatchSchema, suffix: str = "") -> DataFrame:
     for f in schema.of_kind("dice"):
         text = F.col(f"d_{f.name}{suffix}")
         more[f"v_{f.name}{suffix}"] = F.when(text == "", "").otherwise(F.md5(text))
-        more[f"g_{f.name}{suffix}"] = bigram_set(text)
+        if not texts:
+            more[f"g_{f.name}{suffix}"] = bigram_set(text)
+    if texts:
+        return df.withColumns(more) if more else df
     return df.withColumns(more).drop(*(f"d_{f.name}{suffix}" for f in schema.of_kind("dice"))) if more else df
 
 
+def with_bigrams(df: DataFrame, schema: MatchSchema) -> DataFrame:
+    """The bigram sets ``g_<f>`` in place of the texts ``d_<f>``."""
+    names = [f.name for f in schema.of_kind("dice")]
+    if not names:
+        return df
+    return df.withColumns({f"g_{n}": bigram_set(f"d_{n}") for n in names}).drop(*(f"d_{n}" for n in names))
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

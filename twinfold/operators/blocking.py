@@ -171,14 +171,14 @@ def certain_pairs(left: DataFrame, right: DataFrame | None, schema: MatchSchema)
             F.least("content_id", "hub").alias("content_1"), F.greatest("content_id", "hub").alias("content_2")
         )
     others = certain_rows(right, schema)
-    hubs, other_hubs = stage(_hubs(rows), "hubs"), stage(_hubs(others), "hubs")
-    return (
-        rows.join(other_hubs, "group")
-        .select(F.col("content_id").alias("content_1"), F.col("hub").alias("content_2"))
-        .unionByName(
-            others.join(hubs, "group").select(F.col("hub").alias("content_1"), F.col("content_id").alias("content_2"))
-        )
-    )
+    return _stars_across(rows, stage(_hubs(rows), "hubs"), others, stage(_hubs(others), "hubs"))
+
+
+def _stars_across(rows: DataFrame, hubs: DataFrame, others: DataFrame, other_hubs: DataFrame) -> DataFrame:
+    """Members of groups of either side with the first of the other."""
+    near = rows.join(other_hubs, "group").select(F.col("content_id").alias("content_1"), F.col("hub").alias("content_2"))
+    far = others.join(hubs, "group").select(F.col("hub").alias("content_1"), F.col("content_id").alias("content_2"))
+    return near.unionByName(far)
 
 
 def _equality_rows(classes: DataFrame, schema: MatchSchema, families: list[Family]) -> DataFrame:
@@ -264,6 +264,23 @@ def _join_blocks(
     return found.unionByName(more).unionByName(last)
 
 
+def _hopeful(schema: MatchSchema, families: list[Family]) -> Column:
+    """What rows ``a`` and ``b`` of one key show before their values are seen: lengths near enough, no denying
+    field that differs, no certain group in common."""
+    longer = F.greatest(F.col("a.len"), F.col("b.len"))
+    shorter = F.least(F.col("a.len"), F.col("b.len"))
+    threshold = F.lit(0.0)
+    for fam in families:
+        threshold = F.when(F.col("a.family") == fam.number, F.lit(fam.threshold)).otherwise(threshold)
+    keep = shorter >= longer * threshold - SLACK
+    for f in _denying(schema):
+        x, y = F.col(f"a.h_{f.name}"), F.col(f"b.h_{f.name}")
+        keep = keep & F.coalesce(x == y, F.lit(True))
+    if schema.certain_sets():
+        keep = keep & ~F.arrays_overlap("a.certain", "b.certain")
+    return keep
+
+
 def _join_rows(
     left: DataFrame,
     right: DataFrame,
@@ -283,18 +300,7 @@ def _join_rows(
         .withColumn("salt", F.explode(F.sequence(F.lit(0), cuts - 1)))
         .alias("b")
     )
-    longer = F.greatest(F.col("a.len"), F.col("b.len"))
-    shorter = F.least(F.col("a.len"), F.col("b.len"))
-    family = F.col("a.family")
-    threshold = F.lit(0.0)
-    for fam in families:
-        threshold = F.when(family == fam.number, F.lit(fam.threshold)).otherwise(threshold)
-    keep = shorter >= longer * threshold - SLACK
-    for f in _denying(schema):
-        x, y = F.col(f"a.h_{f.name}"), F.col(f"b.h_{f.name}")
-        keep = keep & F.coalesce(x == y, F.lit(True))
-    if schema.certain_sets():
-        keep = keep & ~F.arrays_overlap("a.certain", "b.certain")
+    keep = _hopeful(schema, families)
     one, two = F.col("a.content_id"), F.col("b.content_id")
     if same:
         keep = keep & ((one < two) | F.col("b.main") if "main" in right.columns else one < two)
@@ -318,6 +324,26 @@ def _gram_rows(rows: DataFrame, schema: MatchSchema, families: list[Family], ran
     )
 
 
+def _kinds_of(schema: MatchSchema) -> tuple[list[Family], list[Family], list[Family], list[Family]]:
+    """All families, those with an equal field or title, those on grams alone, and those whose blocks grams can split."""
+    families = plan_blocks(schema)
+    keyed = [f for f in families if f.fields or f.title]
+    gram_only = [f for f in families if not f.fields and not f.title]
+    for f in gram_only:
+        if gram_rule(f.threshold, schema.ngram) is None:
+            raise ValueError(
+                f"{schema.name}: the tier at {f.threshold} needs no equal field and is too low for a gram filter"
+            )
+    return families, keyed, gram_only, [f for f in keyed if not f.title and gram_rule(f.threshold, schema.ngram)]
+
+
+def _without_fields(side: DataFrame, schema: MatchSchema, gram_only: list[Family]) -> DataFrame:
+    """Rows of one key for each family on grams alone."""
+    numbers = F.array(*[F.lit(f.number) for f in gram_only])
+    every = side.where(F.col("t") != "").select("t", F.explode(numbers).alias("family"), *_payload(schema))
+    return every.withColumn("k", F.col("family").cast("long"))
+
+
 def candidate_pairs(
     left: DataFrame,
     right: DataFrame | None,
@@ -330,15 +356,7 @@ def candidate_pairs(
     ``left`` and ``right`` are content tables (see ``dedup.contents``); ``right=None``
     pairs a table with itself, smaller id first.
     """
-    families = plan_blocks(schema)
-    keyed = [f for f in families if f.fields or f.title]
-    gram_only = [f for f in families if not f.fields and not f.title]
-    splittable = [f for f in keyed if not f.title and gram_rule(f.threshold, schema.ngram)]
-    for f in gram_only:
-        if gram_rule(f.threshold, schema.ngram) is None:
-            raise ValueError(
-                f"{schema.name}: the tier at {f.threshold} needs no equal field and is too low for a gram filter"
-            )
+    families, keyed, gram_only, splittable = _kinds_of(schema)
     titles = (left if right is None else left.select("t").unionByName(right.select("t"))).select("t")
     sizes_needed = {gram_rule(f.threshold, schema.ngram).size for f in gram_only + splittable}
     ranks = {size: gram_ranks(titles, size) for size in sizes_needed}
@@ -358,14 +376,8 @@ def candidate_pairs(
                 crowded = r.where(split).join(hot, "k", "left_semi").join(side.select("content_id", "t"), "content_id")
                 gram_sides[at].append(_gram_rows(crowded, schema, splittable, ranks))
     if gram_only:
-        numbers = F.array(*[F.lit(f.number) for f in gram_only])
         for at, side in enumerate(sides):
-            every = (
-                side.where(F.col("t") != "")
-                .select("t", F.explode(numbers).alias("family"), *_payload(schema))
-                .withColumn("k", F.col("family").cast("long"))
-            )
-            gram_sides[at].append(_gram_rows(every, schema, gram_only, ranks))
+            gram_sides[at].append(_gram_rows(_without_fields(side, schema, gram_only), schema, gram_only, ranks))
     if gram_sides[0]:
         parts = []
         for rows in gram_sides:
@@ -384,6 +396,89 @@ def candidate_pairs(
     return pairs.distinct()
 
 
+#: Rows of a stored block that are joined where they lie.
+PLAIN = 1024
+
+
+@dataclass(frozen=True)
+class IndexBlocks:
+    """Blocking tables of a stored index, each dealt out by its first column.
+
+    ``plain`` and ``heavy`` hold its rows (k, family and payload) in blocks of up to ``PLAIN`` rows and in larger
+    ones, ``split`` the keys (k) whose rows are held by key and gram. ``groups`` are its certain groups (group,
+    content_id, first_key) and ``hubs`` the first of each (group, hub). ``ranks`` are the gram ranks by size.
+    """
+
+    plain: DataFrame
+    heavy: DataFrame
+    split: DataFrame
+    groups: DataFrame
+    hubs: DataFrame
+    ranks: dict[int, bytes]
+
+
+def index_blocks(classes: DataFrame, schema: MatchSchema, block_limit: int = 64) -> IndexBlocks:
+    """Blocking tables of an index with these contents. Which blocks are split by grams is settled here."""
+    families, keyed, gram_only, splittable = _kinds_of(schema)
+    sizes_needed = {gram_rule(f.threshold, schema.ngram).size for f in gram_only + splittable}
+    ranks = {size: gram_ranks(classes.select("t"), size) for size in sizes_needed}
+    rows, split = _equality_rows(classes, schema, keyed) if keyed else None, None
+    if splittable:
+        may = rows.where(F.col("family").isin([f.number for f in splittable]))
+        split = stage(may.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > block_limit).select("k"), "split")
+        crowded = rows.join(split, "k", "left_semi").join(classes.select("content_id", "t"), "content_id")
+        rows = rows.join(split, "k", "left_anti").unionByName(_gram_rows(crowded, schema, splittable, ranks))
+    if gram_only:
+        more = _gram_rows(_without_fields(classes, schema, gram_only), schema, gram_only, ranks)
+        rows = more if rows is None else rows.unionByName(more)
+    rows = stage(rows, "blocks")
+    if split is None:
+        split = rows.where("false").select("k")
+    large = stage(rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > PLAIN).select("k"), "large")
+    groups = certain_rows(classes, schema)
+    return IndexBlocks(
+        rows.join(large, "k", "left_anti"), rows.join(large, "k", "left_semi"), split,
+        groups, _hubs(groups).select("group", "hub"), ranks,
+    )
+
+
+def probe_blocks(left: DataFrame, blocks: IndexBlocks, schema: MatchSchema, salt_rows: int = 4096, crowd: int = 64) -> DataFrame:
+    """Distinct (content_1, content_2): contents of a batch and of a stored index that may be duplicates.
+
+    The batch's keys travel to the index's blocks; these stay in place. Only heavy blocks that the batch asks for,
+    and blocks for which it has more than ``salt_rows`` rows, are dealt out anew.
+    """
+    families, keyed, gram_only, splittable = _kinds_of(schema)
+    found, probe = [], None
+    if keyed:
+        probe = _equality_rows(left, schema, keyed)
+        if splittable:
+            rows = stage(probe, "keys")
+            crowded = rows.join(blocks.split, "k", "left_semi").join(left.select("content_id", "t"), "content_id")
+            probe = rows.join(blocks.split, "k", "left_anti")
+            probe = probe.unionByName(_gram_rows(crowded, schema, splittable, blocks.ranks))
+    if gram_only:
+        more = _gram_rows(_without_fields(left, schema, gram_only), schema, gram_only, blocks.ranks)
+        probe = more if probe is None else probe.unionByName(more)
+    probe = stage(probe, "probe")
+    many = stage(probe.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > salt_rows).select("k"), "many")
+    a, b = probe.join(many, "k", "left_anti").alias("a"), blocks.plain.alias("b")
+    near = a.join(b, (F.col("a.k") == F.col("b.k")) & _hopeful(schema, families))
+    found.append(near.select(F.col("a.content_id").alias("content_1"), F.col("b.content_id").alias("content_2")))
+    asked = probe.select("k").distinct()
+    rest = blocks.heavy.join(asked, "k", "left_semi").unionByName(blocks.plain.join(many, "k", "left_semi"))
+    rest = stage(rest, "heavy")
+    sizes = stage(_block_sizes(probe, rest), "sizes")
+    found.append(_join_blocks(probe, rest, sizes, schema, families, salt_rows, crowd))
+    if schema.certain_sets():
+        rows = certain_rows(left, schema)
+        found.append(_stars_across(rows, stage(_hubs(rows), "hubs"), blocks.groups, blocks.hubs))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
+
+
 def shared_grams(pairs: DataFrame, left: DataFrame, right: DataFrame, schema: MatchSchema, threshold: float) -> DataFrame:
     """Candidate pairs whose index fields share enough n-grams for ``threshold``, with
     the number of distinct grams they share."""

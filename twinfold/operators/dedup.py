@@ -23,9 +23,10 @@ from twinfold.functions.compare import (
     score_fields,
     still_possible,
     tier_min_fields,
+    with_bigrams,
 )
 from twinfold.functions.text import record_key
-from twinfold.operators.blocking import candidate_pairs, certain_rows
+from twinfold.operators.blocking import IndexBlocks, candidate_pairs, certain_rows, probe_blocks
 from twinfold.schema import MatchSchema
 from twinfold.session import stage
 
@@ -40,14 +41,14 @@ def with_key(df: DataFrame, schema: MatchSchema) -> DataFrame:
 
 def members(df: DataFrame, schema: MatchSchema) -> DataFrame:
     """Input rows with rec_key, comparable values and the id of their content."""
-    rows = prepared(with_key(df, schema), schema)
+    rows = prepared(with_key(df, schema), schema, texts=True)
     values = [F.col("t")] + [F.col(f"v_{f.name}") for f in schema.compared]
     digest = F.unhex(F.md5(F.concat_ws("\u0002", *values)))
     return rows.withColumn("content_id", F.coalesce(digest, F.lit(b"")))
 
 
 def _values(schema: MatchSchema) -> list[str]:
-    return ["t"] + [f"v_{f.name}" for f in schema.compared] + [f"g_{f.name}" for f in schema.of_kind("dice")]
+    return ["t"] + [f"v_{f.name}" for f in schema.compared] + [f"d_{f.name}" for f in schema.of_kind("dice")]
 
 
 def comparable_rows(df: DataFrame, schema: MatchSchema) -> DataFrame:
@@ -72,9 +73,17 @@ def _side(side: DataFrame, suffix: str, names: list[str]) -> DataFrame:
 
 
 def verify_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, schema: MatchSchema) -> DataFrame:
-    """Candidate pairs that are duplicates, with similarity, scores and statuses."""
-    names = _values(schema)
-    joined = pairs.join(_side(left, "_1", names), "content_1").join(_side(right, "_2", names), "content_2")
+    """Candidate pairs that are duplicates, with similarity, scores and statuses.
+
+    ``pairs`` are staged. Bigrams of long fields are made once for each content in a pair."""
+    sides = []
+    for n, rows in ((1, left), (2, right)):
+        rows = rows.select("content_id", *_values(schema))
+        if schema.of_kind("dice"):
+            used = pairs.select(F.col(f"content_{n}").alias("content_id")).distinct()
+            rows = with_bigrams(rows.join(used, "content_id", "left_semi"), schema)
+        sides.append(_side(rows, f"_{n}", [c for c in rows.columns if c != "content_id"]))
+    joined = pairs.join(sides[0], "content_1").join(sides[1], "content_2")
     possible = equality_statuses(joined, schema).where(still_possible(schema))
     scored = score_fields(possible, schema).where("duplicate")
     return scored.select(
@@ -110,24 +119,42 @@ class Duplicates:
     self_check: bool
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A table made ready to be matched: the input, its comparable rows and its contents."""
+
+    input: DataFrame
+    rows: DataFrame
+    contents: DataFrame
+    #: Blocking tables, if it is a stored index.
+    blocks: IndexBlocks | None = None
+
+
+def prepare(df: DataFrame, schema: MatchSchema) -> Prepared:
+    """Normalise a table once, for any number of checks."""
+    rows = stage(comparable_rows(df, schema), "rows")
+    return Prepared(df, rows, stage(contents(rows, schema), "contents"))
+
+
 def find_duplicates(
-    batch: DataFrame,
+    batch: DataFrame | Prepared,
     schema: MatchSchema,
-    index: DataFrame | None = None,
+    index: DataFrame | Prepared | None = None,
     block_limit: int = 64,
 ) -> Duplicates:
-    """Check ``batch`` against itself, or against ``index``."""
-
-    def prepare(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        rows = stage(comparable_rows(df, schema), "rows")
-        return rows, stage(contents(rows, schema), "contents")
+    """Check ``batch`` against itself, or against ``index``.
 
-    rows, left = prepare(batch)
-    other_rows, right = (rows, left) if index is None else prepare(index)
-    candidates = candidate_pairs(left, None if index is None else right, schema, block_limit)
-    pairs = stage(verify_pairs(candidates, left, right, schema), "pairs")
+    A stored index (see ``sources.match_index``) is joined where it lies."""
+    left = batch if isinstance(batch, Prepared) else prepare(batch, schema)
+    right = left if index is None else index if isinstance(index, Prepared) else prepare(index, schema)
+    if right.blocks is not None and index is not None:
+        candidates = probe_blocks(left.contents, right.blocks, schema)
+    else:
+        candidates = candidate_pairs(left.contents, None if index is None else right.contents, schema, block_limit)
+    candidates = stage(candidates, "candidates")
+    pairs = stage(verify_pairs(candidates, left.contents, right.contents, schema), "pairs")
     return Duplicates(
-        schema, batch, batch if index is None else index, rows, other_rows, left, right, pairs, index is None
+        schema, left.input, right.input, left.rows, right.rows, left.contents, right.contents, pairs, index is None
     )
 
 
@@ -230,10 +257,11 @@ def linked_keys(dups: Duplicates) -> DataFrame:
 
 
 def _raw_records(df: DataFrame, schema: MatchSchema, keys: DataFrame, n: int) -> DataFrame:
-    """Raw fields of the shown keys; only their rows are normalised again."""
+    """Raw fields of the shown keys; only their rows are normalised again, and none of an
+    index that stores their contents."""
     shown = with_key(df, schema).join(keys, "rec_key", "left_semi")
     return (
-        members(shown, schema)
+        (shown if "content_id" in df.columns else members(shown, schema))
         .groupBy(F.col("content_id").alias(f"content_{n}"), F.col("rec_key").alias(f"key_{n}"))
         .agg(F.min(F.struct(*schema.names)).alias(f"record_{n}"))
     )

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from twinfold.functions.text import fill_pattern
 from twinfold.operators.dedup import (
     Duplicates,
+    Prepared,
     duplicate_keys,
     duplicate_report,
     find_duplicates,
     nearest_links,
+    prepare,
     report_links,
     with_key,
 )
@@ -40,20 +42,24 @@ def good_records(lines: DataFrame, schema: MatchSchema, column: str = "value") -
     return with_key(parse_lines(good, schema, column), schema)
 
 
-def _check(batch: DataFrame, schema: MatchSchema, index: DataFrame | None, order: str | Column, block_limit: int) -> Check:
-    batch = with_key(batch, schema)
+def _check(
+    batch: DataFrame | Prepared, schema: MatchSchema, index: DataFrame | Prepared | None, order: str | Column, block_limit: int
+) -> Check:
+    if not isinstance(batch, Prepared):
+        batch = prepare(with_key(batch, schema), schema)
     dups = find_duplicates(batch, schema, index, block_limit)
     keys = duplicate_keys(dups)
-    return Check(dups, duplicate_report(dups), keys, no_dup(batch, keys, order))
+    return Check(dups, duplicate_report(dups), keys, no_dup(batch.input, keys, order))
 
 
-def self_check(batch: DataFrame, schema: MatchSchema, order: str | Column, block_limit: int = 64) -> Check:
+def self_check(batch: DataFrame | Prepared, schema: MatchSchema, order: str | Column, block_limit: int = 64) -> Check:
     return _check(batch, schema, None, order, block_limit)
 
 
 def index_check(
-    batch: DataFrame, index: DataFrame, schema: MatchSchema, order: str | Column, block_limit: int = 64
+    batch: DataFrame | Prepared, index: DataFrame | Prepared, schema: MatchSchema, order: str | Column, block_limit: int = 64
 ) -> Check:
+    """``index``: records, or a stored match index, which is read where it lies."""
     return _check(batch, schema, index, order, block_limit)
 
 
@@ -67,18 +73,18 @@ class DoubleCheck:
 
 def double_check(
     batch: DataFrame,
-    index: DataFrame,
+    index: DataFrame | Prepared,
     schema: MatchSchema,
     order: str | Column,
     light: bool = False,
     block_limit: int = 64,
 ) -> DoubleCheck:
-    """Check the batch against itself and against the index.
+    """Check the batch, normalised once, against itself and against the index.
 
     ``no_dup_1``: rows without a duplicate in the index, or, with ``light``, both
     no-duplicate sets together. ``no_dup_2``: rows in both sets.
     """
-    batch = with_key(batch, schema)
+    batch = prepare(with_key(batch, schema), schema)
     own = self_check(batch, schema, order, block_limit)
     stored = index_check(batch, index, schema, order, block_limit)
     own_rows, stored_rows = stage(own.no_dup, "no_dup_self"), stage(stored.no_dup, "no_dup_index")
@@ -87,7 +93,7 @@ def double_check(
     return DoubleCheck(own, stored, first, both)
 
 
-def lookup_duplicates(queries: DataFrame, index: DataFrame, schema: MatchSchema, quantity: int) -> DataFrame:
+def lookup_duplicates(queries: DataFrame, index: DataFrame | Prepared, schema: MatchSchema, quantity: int) -> DataFrame:
     """Duplicates of each query record in the index, the ``quantity`` most similar ones."""
     dups = find_duplicates(with_key(queries, schema), schema, index)
     links = stage(nearest_links(dups, quantity), "nearest")

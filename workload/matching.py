@@ -14,6 +14,7 @@ from twinfold.operators.similar import similar_docs_detail, similar_field_topk
 from twinfold.plans import jobs
 from twinfold.schema import DENY_DUP, MAX_SCORE, Field, MatchSchema, Tier
 from twinfold.session import stage
+from twinfold.sources.match_index import build_match_index, open_match_index
 from twinfold.sources.report import read_dup_report, report_lines, write_dup_report
 from workload.fields import LINES, SQL_CHECKED
 from workload.registry import query, recursive, scratch, sql_bigrams, sql_key, sql_rec_key, sql_similarity, sql_text
@@ -152,8 +153,21 @@ def _contents(df, schema):
     return stage(dedup.contents(dedup.comparable_rows(df, schema), schema), "contents")
 
 
-def _shared(left, right, schema):
-    pairs = blocking.candidate_pairs(left, None if right is left else right, schema)
+_INDEXES: dict[tuple, str] = {}
+
+
+def _stored(spark, sf, schema):
+    """The match index of the records, built once in a session, as checks are many and the index is one."""
+    at = (spark.sparkContext.applicationId, sf, schema.name)
+    if at not in _INDEXES:
+        path = scratch(spark, "match_index")
+        build_match_index(_rec(spark, sf), schema, path)
+        _INDEXES[at] = path
+    return open_match_index(spark, _INDEXES[at])
+
+
+def _shared(left, right, schema, pairs=None):
+    pairs = blocking.candidate_pairs(left, None if right is left else right, schema) if pairs is None else pairs
     found = blocking.shared_grams(pairs, left, right, schema, 0.9)
     one = left.select(F.col("content_id").alias("content_1"), F.col("first_key").alias("rec_key_1"))
     two = right.select(F.col("content_id").alias("content_2"), F.col("first_key").alias("rec_key_2"))
@@ -185,7 +199,8 @@ def _(spark, sf):
 @query("J05_candidates_index", with_views(
     f"WITH {_sql_titles('rec')}, {_sql_titles('page_rec')} {_sql_candidates('page_rec', 'rec', 'true')}", "rec", "page_rec"))
 def _(spark, sf):
-    return _shared(_contents(_pages(spark, sf), TITLES), _contents(_rec(spark, sf), TITLES), TITLES)
+    left, index = _contents(_pages(spark, sf), TITLES), _stored(spark, sf, TITLES)
+    return _shared(left, index.contents, TITLES, blocking.probe_blocks(left, index.blocks, TITLES))
 
 
 def _same(*names: str) -> str:
@@ -464,14 +479,14 @@ def _(spark, sf):
     SELECT *, row_number() OVER (PARTITION BY rec_key ORDER BY doc_id) AS n FROM page_rec_p
     WHERE rec_key NOT IN {_dup_keys_sql(_INDEX_PAIRS)}) WHERE n = 1""", "rec", "page_rec"))
 def _(spark, sf):
-    check = jobs.index_check(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, "doc_id")
+    check = jobs.index_check(_pages(spark, sf), _stored(spark, sf, EQUAL_TITLES), EQUAL_TITLES, "doc_id")
     return check.no_dup.select("rec_key", "title")
 
 
 @query("B02_index_check_keys", with_views(
     f"{_BOTH_PREP} SELECT rec_key_1 AS rec_key FROM {_dup_keys_sql(_INDEX_PAIRS)}", "rec", "page_rec"))
 def _(spark, sf):
-    return jobs.index_check(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, "doc_id").dup_keys
+    return jobs.index_check(_pages(spark, sf), _stored(spark, sf, EQUAL_TITLES), EQUAL_TITLES, "doc_id").dup_keys
 
 
 _OWN_SET = f"own AS (SELECT rec_key, title, doc_id FROM page_rec_p WHERE rec_key NOT IN {_dup_keys_sql(_PAGE_PAIRS)})"
@@ -482,7 +497,7 @@ _STORED_SET = f"stored AS (SELECT rec_key, title, doc_id FROM page_rec_p WHERE r
     SELECT 1 AS set_no, rec_key, title FROM stored
     UNION ALL SELECT 2, rec_key, title FROM own WHERE rec_key IN (SELECT rec_key FROM stored)""", "rec", "page_rec"))
 def _(spark, sf):
-    done = jobs.double_check(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, "doc_id")
+    done = jobs.double_check(_pages(spark, sf), _stored(spark, sf, EQUAL_TITLES), EQUAL_TITLES, "doc_id")
     pick = lambda df, n: df.select(F.lit(n).alias("set_no"), "rec_key", "title")
     return pick(done.no_dup_1, 1).union(pick(done.no_dup_2, 2))
 
@@ -491,7 +506,7 @@ def _(spark, sf):
     SELECT 1 AS set_no, rec_key, title FROM (SELECT * FROM own UNION SELECT * FROM stored)
     UNION ALL SELECT 2, rec_key, title FROM own WHERE rec_key IN (SELECT rec_key FROM stored)""", "rec", "page_rec"))
 def _(spark, sf):
-    done = jobs.double_check(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, "doc_id", light=True)
+    done = jobs.double_check(_pages(spark, sf), _stored(spark, sf, EQUAL_TITLES), EQUAL_TITLES, "doc_id", light=True)
     pick = lambda df, n: df.select(F.lit(n).alias("set_no"), "rec_key", "title")
     return pick(done.no_dup_1, 1).union(pick(done.no_dup_2, 2))
 
@@ -501,7 +516,7 @@ def _(spark, sf):
     SELECT * FROM (SELECT rec_key_1, rec_key_2, row_number() OVER (PARTITION BY rec_key_1 ORDER BY rec_key_2) AS rank
         FROM scored) WHERE rank <= 3""", "rec", "page_rec"))
 def _(spark, sf):
-    found = jobs.lookup_duplicates(_pages(spark, sf), _rec(spark, sf), EQUAL_TITLES, 3)
+    found = jobs.lookup_duplicates(_pages(spark, sf), _stored(spark, sf, EQUAL_TITLES), EQUAL_TITLES, 3)
     return found.select("rec_key_1", "rec_key_2", "rank")
 
 
