@@ -6,11 +6,15 @@ that tree; a region of more than ``REGION`` classes is cut by longer prefixes, s
 
 Inside a region every class is a neighbour of those with the longest agreement: the links of a spanning tree that
 takes the largest estimated similarities first, and the links to the region's most central class. The latter matters
-for copies of one original that are all near to it but not to each other; for a large region it is found by agreement
-with a few pivots, in one pass. Pairs are confirmed by the exact intersection of both sets. Then the components are
-known, and regions that still hold several are searched again for pairs across them that were not tried before, more
-of them in each round, until none is left. Last, the large regions are searched as they are in the same way: what is
-outside the largest component of a region is compared with the whole region, in blocks.
+for copies of one original that are all near to it but not to each other. Pairs are confirmed by the exact intersection
+of both sets. Then the components are known, and regions that still hold several are searched again for pairs across
+them that were not tried before, more of them in each round, until none is left.
+
+Large regions come first. Their most central class, found by agreement with a few pivots in one pass, is the hub of a
+cell: all classes that may be near are compared with it, and are known from then on by what they have different from
+the hub. All other links of a cell follow from differences that two classes share, so a cell of any size needs no pairs
+but these (see ``_cell_pairs``), and the regions leave out pairs of one cell. Classes of large regions are then sought
+once more in the orders that begin at all other values, as a longer prefix finds fewer links in each of them.
 """
 
 from __future__ import annotations
@@ -43,8 +47,8 @@ ERRORS = 5
 SURE = 0.92
 PIVOTS = 8
 CHUNK = 256
-#: Classes of a block where a large region is compared.
-BLOCK = 512
+#: Classes that pair up by a difference that they share; more make a cell of their own.
+FEW = 8
 #: Pairs between two components that a round tries: so many times those of the round before.
 FASTER = 16
 
@@ -146,21 +150,21 @@ class Forest:
 
 
 def _prefix(tree, depth: int):
-    """Key of a region: tree and first ``depth`` values of its order."""
+    """Key of a region: tree, which is the value that its order begins with, and first ``depth`` values of its order."""
     twice = F.concat("sign", "sign")
-    return F.xxhash64(tree, F.lit(depth), twice.substr(tree * (4 * DEPTH) + 1, F.lit(4 * depth)))
+    return F.xxhash64(tree, F.lit(depth), twice.substr(tree * 4 + 1, F.lit(4 * depth)))
 
 
-def _regions(classes: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
+def _regions(classes: DataFrame, start: int, trees: list[int]) -> tuple[DataFrame, DataFrame]:
     """Regions of at most ``REGION`` classes (key, id), and those of the first depth that are larger (key, id, sign)."""
-    keys = classes.select("id", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sign")
+    keys = classes.select("id", F.explode(F.array(*map(F.lit, trees))).alias("tree"), "sign")
     keys = keys.select("id", "tree", _prefix(F.col("tree"), start).alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     rows = stage(keys.join(sizes, "key"), "regions")
     large = rows.filter(F.col("n") > REGION)
     found, signs = [rows.filter(F.col("n") <= REGION).select("key", "id")], classes.select("id", "sign")
     wide = large = stage(large.join(signs, "id").select("key", "id", "tree", "sign"), "large")
-    for depth in DEPTHS:
+    for depth in (d for d in DEPTHS if d > start):
         if large.isEmpty():
             break
         keys = large.select("id", "tree", "sign", _prefix(F.col("tree"), depth).alias("key"))
@@ -177,6 +181,20 @@ def _regions(classes: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
     return regions, wide
 
 
+def _members(regions: DataFrame, classes: DataFrame, cells: DataFrame | None) -> DataFrame:
+    """(region, id, sign): the classes of each region that has pairs outside of cells. Many trees have the same region:
+    one is enough."""
+    if cells is not None:  # where all have one cell in common there is nothing to seek
+        home = cells.select("id", F.array_min("cells").alias("home"))
+        homes = regions.join(home, "id", "left").groupBy("key").agg(
+            F.min("home").alias("a"), F.max("home").alias("b"), F.count("home").alias("n"), F.count("*").alias("all")
+        )
+        regions = regions.join(homes.filter("not (n = all and a = b)").select("key"), "key", "left_semi")
+    sets = regions.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids").distinct()
+    sets = stage(sets.select(F.monotonically_increasing_id().alias("region"), "ids"), "sets")
+    return stage(sets.select("region", F.explode("ids").alias("id")).join(classes.select("id", "sign"), "id"), "members")
+
+
 def _forests(a: list, b: list, tries: int, sure: list[tuple], tried: list[bool]) -> list[int]:
     """Places of the pairs of groups (a, b) that up to ``tries`` spanning forests take, each of what others left.
 
@@ -211,7 +229,7 @@ def _forests(a: list, b: list, tries: int, sure: list[tuple], tried: list[bool])
 
 
 def _spanning(
-    ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set], likely: int, tries: int = 1
+    ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set], cells: list, likely: int, tries: int = 1
 ) -> list[tuple[int, int]]:
     """Pairs of a region to confirm: to its central class, and of spanning trees by estimated similarity."""
     n = len(ids)
@@ -223,6 +241,9 @@ def _spanning(
         if partners:
             hit = [j for j in range(n) if ids[j] in partners]
             open_[i, hit] = open_[hit, i] = False
+    for cell in {c for own in cells for c in own}:  # pairs of one cell are settled
+        inside = [i for i, own in enumerate(cells) if cell in own]
+        open_[np.ix_(inside, inside)] = False
     if not open_.any():
         return []
     hub = int(agree.sum(axis=1).argmax())
@@ -250,7 +271,8 @@ def _search(likely: int, tries: int):
                 signs = np.frombuffer(b"".join(r["sign"] for r in region), "<u4").reshape(-1, VALUES)
                 group = np.array([r["group"] for r in region])
                 failed = [set(r["failed"] or ()) for r in region]
-                found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed, likely, tries)]
+                cells = [r["cells"] or () for r in region]
+                found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed, cells, likely, tries)]
             if found:
                 hub, other = zip(*found)
                 pairs = [pa.array(hub, pa.int64()), pa.array(other, pa.int64())]
@@ -297,61 +319,66 @@ def _hub_pairs(wide: DataFrame, likely: int) -> DataFrame:
     return both.mapInArrow(_near_hub(likely), "hub long, other long")
 
 
-def _labelled(rows: DataFrame, groups: DataFrame | None, failed: DataFrame | None) -> DataFrame:
-    """Classes with their component so far (group) and those of their pairs that were tried and are none (failed)."""
-    if failed is None:
-        return rows.withColumn("group", F.col("id")).withColumn("failed", F.lit(None).cast("array<long>"))
+def _labelled(rows: DataFrame, groups: DataFrame | None, failed: DataFrame | None, cells: DataFrame | None) -> DataFrame:
+    """Classes with their component so far (group), the hubs of their cells (cells) and those of their pairs that were
+    tried and are none (failed)."""
+    none = F.lit(None).cast("array<long>")
     if groups is None:
         rows = rows.withColumn("group", F.col("id"))
     else:
         rows = rows.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
         rows = rows.withColumn("group", F.coalesce("component", "id")).drop("component")
-    return rows.join(failed, "id", "left")
-
-
-def _between(likely: int, tries: int):
-    def between(block: pd.DataFrame) -> pd.DataFrame:
-        left, right = block[block["left"]], block[~block["left"]]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"hub": [], "other": []}).astype("int64")
-        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
-        x, y = (np.frombuffer(b"".join(s["sign"]), "<u4").reshape(-1, VALUES) for s in (left, right))
-        agree = np.stack([(y == one).sum(axis=1, dtype=np.int16) for one in x])
-        open_ = (left["group"].to_numpy()[:, None] != right["group"].to_numpy()[None, :]) & (agree >= likely)
-        place, other_place = {c: i for i, c in enumerate(ids.tolist())}, {c: i for i, c in enumerate(others.tolist())}
-        for i, some in enumerate(left["failed"]):
-            open_[i, [other_place[c] for c in (some if some is not None else ()) if c in other_place]] = False
-        for j, some in enumerate(right["failed"]):
-            open_[[place[c] for c in (some if some is not None else ()) if c in place], j] = False
-        a, b = np.nonzero(open_)
-        order = np.argsort(-agree[a, b], kind="stable")
-        a, b = a[order], b[order]
-        one, two = left["group"].to_numpy()[a].tolist(), right["group"].to_numpy()[b].tolist()
-        take = _forests(one, two, tries, [], [False] * len(a))
-        return pd.DataFrame({"hub": ids[a[take]], "other": others[b[take]]}).astype("int64")
-
-    return between
-
-
-def _wide_pairs(
-    wide: DataFrame, groups: DataFrame | None, failed: DataFrame | None, likely: int, tries: int
-) -> DataFrame:
-    """Pairs of large regions between components: classes outside a region's largest one against all, in blocks."""
-    rows = _labelled(wide.select("key", "id", "sign"), groups, failed)
-    sizes = rows.groupBy("key", "group").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("size"))
-    blocks = [F.ceil(n / BLOCK).cast("int") for n in (F.col("size") - F.col("top.n"), F.col("size"))]
-    sizes = sizes.filter(F.col("size") > F.col("top.n")).select("key", F.col("top.group").alias("main"), *[
-        n.alias(c) for n, c in zip(blocks, ("parts", "all_parts"))
-    ])
-    rows = stage(rows.join(sizes, "key"), "open")
-    columns = ["key", "i", "j", "id", "sign", "group", "failed", "left"]
-    left = rows.filter(F.col("group") != F.col("main")).withColumn("i", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
-    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("all_parts") - 1))).withColumn("left", F.lit(True))
-    right = rows.withColumn("j", F.expr("cast(pmod(xxhash64(id), all_parts) as int)"))
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("left", F.lit(False))
-    both = left.select(*columns).union(right.select(*columns))
-    return both.groupBy("key", "i", "j").applyInPandas(_between(likely, tries), "hub long, other long")
+    rows = rows.withColumn("failed", none) if failed is None else rows.join(failed, "id", "left")
+    return rows.withColumn("cells", none) if cells is None else rows.join(cells, "id", "left")
+
+
+def _cell_pairs(cells: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs within cells that can be alike, and pairs of new cells.
+
+    A cell is a hub and the classes that were compared with it, each known by what it has different from the hub. If a
+    class that is not linked with the hub is alike with any other one of the cell, then both share a difference: else
+    the differences of both would add up, and those of the one are too many already. So pairs are sought by shared
+    differences. Most differences are of one class only; those of up to ``FEW`` pair their classes, and those of more
+    make a new cell around the class that has the fewest differences.
+    """
+    some = cells.select("hub", "id", "linked", "n", F.size("differ").alias("d"), F.explode("differ").alias("e"))
+    many = some.groupBy("hub", "e").agg(
+        F.count("*").alias("k"), F.min("linked").alias("all_linked"), F.min(F.struct("d", "id"))["id"].alias("centre")
+    )
+    many = many.filter("k > 1 and not all_linked")
+    rows = stage(some.join(many, ["hub", "e"]), "differences")
+    crowds = rows.filter(F.col("k") > FEW)
+    new = crowds.filter("id <> centre").select(F.col("centre").alias("hub"), F.col("id").alias("other")).distinct()
+    # differences in crowds may all be shared besides
+    besides = crowds.groupBy("hub", "id").agg(F.count("*").alias("besides"))
+    rows = rows.filter(F.col("k") <= FEW).join(besides, ["hub", "id"], "left").withColumn("besides", F.coalesce("besides", F.lit(0)))
+    side = lambda x: F.struct("id", "linked", "n", "d", "besides").alias(x)
+    a, b = rows.select("hub", "e", side("a")), rows.select("hub", "e", side("b"))
+    both = a.join(b, ["hub", "e"]).filter("a.id < b.id and not (a.linked and b.linked)")
+    both = both.groupBy("hub", "a", "b").agg(F.count("*").alias("shared"))
+    apart = F.expr("a.d + b.d - 2 * (shared + least(a.besides, b.besides))")
+    common = (F.expr("a.n + b.n") - apart) / 2
+    both = both.filter(100 * common >= least * (F.expr("a.n + b.n") - common))
+    return both.select(F.col("a.id").alias("hub"), F.col("b.id").alias("other")).distinct(), new
+
+
+def _search_cells(pairs: DataFrame, texts: DataFrame, classes: DataFrame, least: int) -> tuple[list[DataFrame], DataFrame]:
+    """Links within the cells that begin with ``pairs`` (hub, other), and all (hub, id) of cells."""
+    links, known = [], None
+    pairs = stage(pairs.select("hub", "other").distinct(), "cells")
+    while not pairs.isEmpty():
+        tried = _confirmed(pairs.withColumn("cell", F.lit(True)), texts, classes, least)
+        links.append(tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b")))
+        known = pairs if known is None else stage(known.union(pairs), "cells")
+        near, new = _cell_pairs(tried.withColumnRenamed("other", "id"), least)
+        near = stage(near, "near")
+        if not near.isEmpty():
+            found = _confirmed(near.withColumn("cell", F.lit(False)), texts, classes, least)
+            links.append(found.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b")))
+        pairs = stage(new.join(known, ["hub", "other"], "left_anti"), "cells")
+    if known is None:
+        return links, pairs.toDF("hub", "id")
+    return links, stage(known.union(known.select("hub", "hub")).distinct().toDF("hub", "id"), "cells")
 
 
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,34 +410,57 @@ def alike(a: np.ndarray, b: np.ndarray, least: int) -> bool:
 def _confirm(least: int):
     def confirm(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
         items = {i: np.frombuffer(x, "<u8") for i, x in zip(sets["id"], sets["items"])}
-        linked = [alike(items[a], items[b], least) for a, b in zip(pairs["hub"], pairs["other"])]
-        return pairs.assign(linked=linked)[["hub", "other", "linked"]]
+        linked, sizes, differ = [], [], []
+        for hub, other, cell in zip(pairs["hub"], pairs["other"], pairs["cell"]):
+            a, b = items[hub], items[other]
+            linked.append(alike(a, b, least))
+            sizes.append(len(b))
+            differ.append(differences(a, b) if cell else None)
+        return pairs.assign(linked=linked, n=sizes, differ=differ)[["hub", "other", "linked", "n", "differ"]]
 
     return confirm
 
 
+def differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the set b lacks of a and has besides, told apart: the symmetric difference of two such results is that
+    of the sets themselves."""
+    lacks, besides = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
+    return np.concatenate([mixed(lacks), mixed(besides ^ np.uint64(0x5BF03635F0A31E49))]).view(np.int64)
+
+
+_CONFIRMED = "hub long, other long, linked boolean, n long, differ array<long>"
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """Compare the full sets of ``pairs`` (hub, other): adds linked.
+    """Compare the full sets of ``pairs`` (hub, other, cell): adds linked, n (size of other's set) and, of pairs of a
+    cell, differ.
 
     Sets travel to chunks of pairs. A pair goes to the chunk of its least neighbour two steps away, so the sets of a
     group are sent about once; a chunk with many pairs is split by their other side.
     """
     n = max(1, pairs.count() // CHUNK)
-    both = pairs.union(pairs.select("other", "hub")).toDF("id", "next")
+    both = pairs.select("hub", "other").union(pairs.select("other", "hub")).toDF("id", "next")
     home = stage(both.groupBy("id").agg(F.least(F.min("next"), F.first("id")).alias("home")), "homes")
     far = both.join(home.withColumnRenamed("id", "next"), "next").groupBy("id").agg(F.min("home").alias("far"))
     home = home.join(far, "id").select("id", F.least("home", "far").alias("home"))
     placed = pairs.join(home.withColumnRenamed("id", "other"), "other")
     sizes = placed.groupBy("home").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("split"))
     chunk = F.expr(f"pmod(xxhash64(home, pmod(xxhash64(other), split)), {n})")
-    placed = stage(placed.join(sizes, "home").select("hub", "other", chunk.alias("chunk")), "placed")
+    placed = stage(placed.join(sizes, "home").select("hub", "other", "cell", chunk.alias("chunk")), "placed")
     ends = placed.select("chunk", F.explode(F.array("hub", "other")).alias("id")).distinct()
     ends = ends.groupBy("id").agg(F.collect_list("chunk").alias("chunks"))
     ends = ends.join(classes.select("id", "row"), "id")
     sets = texts.join(ends.hint("shuffle_hash"), "row").select("text", "id", "chunks")
     sets = sets.mapInArrow(_sets, "chunk long, id long, items binary")
     found = placed.groupBy("chunk").cogroup(sets.groupBy("chunk"))
-    return stage(found.applyInPandas(_confirm(least), "hub long, other long, linked boolean"), "confirmed")
+    return stage(found.applyInPandas(_confirm(least), _CONFIRMED), "confirmed")
+
+
+def _grouped(links: list[DataFrame]) -> DataFrame:
+    every = links[0]
+    for more in links[1:]:
+        every = every.union(more)
+    return components(every)
 
 
 def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
@@ -424,44 +474,39 @@ def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
     some = sketch.filter("n_shingles > 0").select(id_, "row", "sign")
     classes = some.groupBy("id").agg(F.min("row").alias("row"), F.max("sign").alias("sign"))
     classes = stage(classes, "classes")
-    regions, wide = _regions(classes, forest.depth)
-    # many trees have the same region: one is enough
-    sets = regions.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids").distinct()
-    sets = stage(sets.select(F.monotonically_increasing_id().alias("region"), "ids"), "sets")
-    # the signatures that the rounds need are those of classes in some region
-    members = sets.select("region", F.explode("ids").alias("id")).join(classes.select("id", "sign"), "id")
-    members = stage(members, "members")
-    groups = failed = links = None
-    narrow = wide.isEmpty()
-    more = None if narrow else _hub_pairs(wide, forest.likely)
-    tries, last = 1, False
-    while True:
-        if last:
-            pairs = _wide_pairs(wide, groups, failed, forest.likely, tries)
-        else:
-            rows = _labelled(members, groups, failed)
-            rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed")).alias("rows"))
+    trees = list(range(0, VALUES, VALUES // TREES))
+    regions, wide = _regions(classes, forest.depth, trees)
+    links: list[DataFrame] = []
+    groups = failed = cells = None
+    passes = [regions]
+    if not wide.isEmpty():
+        links, cells = _search_cells(_hub_pairs(wide, forest.likely), texts, classes, forest.alike)
+        groups = _grouped(links) if links else None
+        cells = stage(cells.groupBy("id").agg(F.collect_set("hub").alias("cells")), "cells_of")
+        crowded = classes.join(wide.select("id").distinct(), "id", "left_semi")
+        passes.append(_regions(crowded, 2 * DEPTH, [v for v in range(VALUES) if v not in trees])[0])
+    for found in passes:
+        members, tries = _members(found, classes, cells), 1
+        while True:
+            rows = _labelled(members, groups, failed, cells)
+            rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed", "cells")).alias("rows"))
             pairs = rows.select("rows").mapInArrow(_search(forest.likely, tries), "hub long, other long")
-        pairs = pairs if more is None else pairs.union(more)
-        least, most = F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
-        pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
-        pairs = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
-        pairs, more = stage(pairs, "pairs"), None
-        if pairs.isEmpty():
-            if last or narrow:
+            least, most = F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
+            pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
+            other = F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other")
+            pairs = stage(pairs.select("hub", other, F.lit(False).alias("cell")), "pairs")
+            if pairs.isEmpty():
                 break
-            last = True
-            continue
-        tries *= FASTER
-        tried = _confirmed(pairs, texts, classes, forest.alike)
-        new = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            groups = components(links)
-        off = tried.filter("not linked").groupBy(F.col("other").alias("id")).agg(F.collect_list("hub").alias("failed"))
-        if failed is not None:
-            off = failed.union(off).groupBy("id").agg(F.flatten(F.collect_list("failed")).alias("failed"))
-        failed = stage(off, "failed")
+            tries *= FASTER
+            tried = _confirmed(pairs, texts, classes, forest.alike)
+            new = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
+            if not new.isEmpty():
+                links.append(new)
+                groups = _grouped(links)
+            off = tried.filter("not linked").groupBy(F.col("other").alias("id")).agg(F.collect_list("hub").alias("failed"))
+            if failed is not None:
+                off = failed.union(off).groupBy("id").agg(F.flatten(F.collect_list("failed")).alias("failed"))
+            failed = stage(off, "failed")
     whole = sketch.select("row", "n_shingles", F.when(F.col("n_shingles") > 0, id_).alias("id"))
     if groups is None:
         whole = whole.withColumn("group", F.col("id"))
