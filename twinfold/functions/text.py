@@ -213,7 +213,8 @@ def clean_query(s: Column | str) -> Column:
         return texts.map(_unescape, na_action="ignore")
 
     text = _col(s)
-    resolved = F.when(F.contains(text, F.lit("&")), unescape(text)).otherwise(text)
+    # a function gets every row, whatever its result is used for: so only texts with an entity are handed to it
+    resolved = F.coalesce(unescape(F.when(F.contains(text, F.lit("&")), text)), text)
     return trim_control(F.translate(resolved, ":", " "))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twinfold.functions.text import fill_pattern, split_pipe, trim_control
 from twinfold.schema import MatchSchema
+from twinfold.session import stage
 
 
 def drop_blank(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -71,6 +72,8 @@ def marked_bad(checked: DataFrame, column: str = "value") -> DataFrame:
 
 
 def write_good_bad(checked: DataFrame, good: str, bad: str, mode: str = "errorifexists") -> None:
+    """Good lines in one folder, bad ones with their reason in another; lines are validated once."""
+    checked = stage(checked.select("value", "reason"), "checked")
     checked.where("reason IS NULL").select("value").write.mode(mode).text(good)
     marked_bad(checked).write.mode(mode).text(bad)
 

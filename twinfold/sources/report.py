@@ -32,9 +32,13 @@ def report_lines(report: DataFrame, schema: MatchSchema) -> DataFrame:
 
 
 def write_dup_report(report: DataFrame, schema: MatchSchema, path: str, mode: str = "errorifexists") -> None:
-    """Text lines, the header among them once; values keep every character but line breaks."""
-    header = report.sparkSession.createDataFrame([(report_header(schema),)], "value string")
-    header.union(report.select(report_line(schema))).write.mode(mode).text(path)
+    """Text lines, the header first, then those of a record together, in descending order of the lines.
+
+    Files follow each other in this order, each a range of records. Values keep every character but line breaks.
+    """
+    header = report.sparkSession.createDataFrame([(0, "", report_header(schema))], "part int, rec_key_1 string, value string")
+    rows = header.union(report_lines(report, schema).select(F.lit(1), "rec_key_1", "value"))
+    rows.orderBy("part", "rec_key_1", F.desc("value")).select("value").write.mode(mode).text(path)
 
 
 def read_dup_report(spark: SparkSession, schema: MatchSchema, path: str) -> DataFrame:

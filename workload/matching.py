@@ -322,11 +322,14 @@ def _scored_star(spark, sf):
     return score_pairs(_star(spark, sf), EQUAL_TITLES, exact=False)
 
 
-@query("M07_carry_field", with_views(
-    f"{_PARTNERED} SELECT a.rec_key AS rec_key_1, b.rec_key AS rec_key_2, a.authors AS authors_1, b.authors AS authors_2, "
-    f"'NOT_COMPARED' AS status FROM rec_p a JOIN partner b ON {_STAR}", "rec"))
+@query("M07_carry_field", with_views(f"""{_REC_PREP}
+    SELECT r.rec_key_1, r.rec_key_2, x.authors AS authors_1, y.authors AS authors_2, NULL::DOUBLE AS authors_score,
+        'NOT_COMPARED' AS authors_status
+    FROM ({_SELF_REPORT}) r JOIN rec x ON {sql_rec_key('x.id', 'x.database')} = rec_key_1
+    JOIN rec y ON {sql_rec_key('y.id', 'y.database')} = rec_key_2""", "rec"))
 def _(spark, sf):
-    return _star(spark, sf).select("rec_key_1", "rec_key_2", "authors_1", "authors_2", F.lit(cmp.NOT_COMPARED).alias("status"))
+    report = jobs.self_check(_rec(spark, sf), EQUAL_TITLES, "doc_id").report
+    return report.select("rec_key_1", "rec_key_2", "authors_1", "authors_2", "authors_score", "authors_status")
 
 
 _STATUSES = "sj AS journal_status, sy AS year_status, sp AS page_status, sa AS abstract_status"
@@ -408,14 +411,13 @@ def _(spark, sf):
 
 # --- nearest texts --------------------------------------------------------------------------
 
-# texts to look for are the first words of some benchmark items
-_ASKED = """asked AS (SELECT item_id AS query, concat_ws(' ', split_part(text, ' ', 1), split_part(text, ' ', 2), split_part(text, ' ', 3),
-        split_part(text, ' ', 4), split_part(text, ' ', 5)) AS text FROM benchmark WHERE item_id % 10 = 3)"""
+# the texts to look for are benchmark items whose id is divisible by 100, against all records
+_ASKED = "asked AS (SELECT item_id AS query, text FROM benchmark WHERE item_id % 100 = 0)"
 _NEAREST = f"""asked_t AS (SELECT query, {sql_text('text')} AS a FROM asked),
     titles AS (SELECT {sql_rec_key()} AS rec_key, title, {sql_text('title')} AS b FROM rec),
     {sql_similarity('SELECT a, b FROM asked_t CROSS JOIN titles')},
     top AS (SELECT * FROM (SELECT query, rec_key, title, round(sim, 6) AS similarity,
-        row_number() OVER (PARTITION BY query ORDER BY sim DESC, rec_key) AS rank
+        row_number() OVER (PARTITION BY query ORDER BY round(sim, 9) DESC, rec_key) AS rank
         FROM asked_t CROSS JOIN titles JOIN near USING (a, b)) WHERE rank <= 10)"""
 
 

@@ -423,7 +423,7 @@ def _condition():
 
 
 @query("F13_search", with_views(f"""
-    SELECT rec_key, title FROM (SELECT {sql_rec_key()} AS rec_key, title FROM rec WHERE {_HAS}) ORDER BY rec_key LIMIT 9999""", "rec"))
+    SELECT rec_key, title FROM (SELECT {sql_rec_key()} AS rec_key, title FROM rec WHERE {_HAS})""", "rec"))
 def _(spark, sf):
     return ix.search(ix.index_records(view(spark, sf, "rec"), RECORD), _condition(), ["title"])
 
