@@ -10,6 +10,7 @@ from twinfold.plans import extract as ex
 from twinfold.plans import jobs
 from twinfold.schema import Field, MatchSchema, Tier, preset
 from twinfold.sources import index as ix
+from twinfold.sources import postings as ps
 from twinfold.sources import jdbc, pipe, xml_docs
 from workload.fields import LINES, SQL_CHECKED, TABLES, doc_fields
 from workload.registry import in_order, query, scratch, sql_key, sql_rec_key, sql_text
@@ -428,6 +429,25 @@ def _(spark, sf):
     return ix.search(ix.index_records(view(spark, sf, "rec"), RECORD), _condition(), ["title"])
 
 
+_RANKED = f"""
+    WITH h AS (SELECT {sql_rec_key()} AS rec_key, {sql_text('title')} AS t, string_split({sql_text('journal')}, ' ') AS j FROM rec),
+    w AS (SELECT ln(1 + count(*) / count(*) FILTER (contains(t, 'tio'))) + ln(1 + count(*) / count(*) FILTER (contains(t, 'ion'))) AS tion,
+        ln(1 + count(*) / count(*) FILTER (contains(t, 'que'))) AS que, ln(1 + count(*) / count(*) FILTER (list_contains(j, 'fr'))) AS fr
+        FROM h),
+    m AS (SELECT rec_key, contains(t, 'tio') AND contains(t, 'ion') AS tion, contains(t, 'que') AS que FROM h
+        WHERE list_contains(j, 'fr') AND NOT contains(t, 'aux'))
+    SELECT rec_key, round(CASE WHEN m.tion THEN w.tion ELSE 0 END + CASE WHEN m.que THEN w.que ELSE 0 END + w.fr, 6) AS weight
+    FROM m, w WHERE m.tion OR m.que"""
+
+
+@query("F13_search_ranked", with_views(_RANKED, "rec"))
+def _(spark, sf):
+    path = scratch(spark, "postings")
+    ps.build_postings(ix.index_records(view(spark, sf, "rec"), RECORD), ["title", "journal"], path)
+    asked = (ps.has("title", "tion") | ps.has("title", "que")) & ps.has("journal", "fr") & ~ps.has("title", "aux")
+    return ps.Postings(spark, path).search(asked).select("rec_key", F.round("weight", 6).alias("weight"))
+
+
 @query("A08_hit_count", with_views(f"SELECT count(*) AS hits FROM rec WHERE {_HAS}", "rec"))
 def _(spark, sf):
     return ix.hit_count(ix.index_records(view(spark, sf, "rec"), RECORD), _condition())
