@@ -2,19 +2,20 @@
 
 A lexicon transducer reads words and writes symbols: insult, threat, target, negation, report or a plain word. The
 insult entries carry weights learned from labelled documents, and may be stems, so that forms not seen before match
-too. Five machines over these symbols are composed into one: insults and threats become findings, a target before a
-finding makes it an attack, a negation shortly before it weakens it, and so does a verb of reported speech in the same
-clause. Clauses, not words, are scored: a clause's score is its heaviest finding, times what the learned model says
+too. Five machines over these symbols are composed: insults become findings, and so do threat verbs that a target
+follows; a target on either side of an insult makes it an attack, a negation shortly before a finding weakens it, and so
+does a verb of reported speech on either side in the same clause. Clauses, not words, are scored: a clause's score is its heaviest finding, times what the learned model says
 about that kind of finding, and a document's score follows from its clauses.
 """
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import ahocorasick
 import numpy as np
@@ -48,9 +49,12 @@ REPORTS = """said says say wrote told claimed called quoted dit disait écrit sa
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, WORD = "insult", "threat", "target", "negation", "report", "word"
 SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, WORD)
+#: A threat verb at the end of its clause, before it is known whether a target was named.
+OPEN = "open"
+FLAGS = ("target", "negated", "reported")
 #: Kinds of findings that the composed machine writes.
 KINDS = tuple("".join(x) for x in itertools.product(("insult", "threat"), ("", "+target"), ("", "+negated"), ("", "+reported")))
-#: Words that a negation reaches ahead.
+#: Words that a negation or a threat verb reaches ahead.
 REACH = 3
 _WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 _CLAUSE = re.compile(r"[.!?;:\n]+")
@@ -85,24 +89,51 @@ def _marking(alphabet: list[str], states: list, step) -> Machine:
     return Machine(states[0], {(s, x): step(s, x) for s in states for x in alphabet})
 
 
-def grammar() -> Machine:
-    """Insult, threat, target, negation and reported speech, composed into one machine over a clause's symbols."""
-    finding = lambda x: x.split("+")[0] in (INSULT, THREAT)
-    words = list(SYMBOLS)
-    insult = _marking(words, [0], lambda s, x: (0, x))  # an insult is a finding by itself
-    # a threat is one only if the clause named a target before
-    threat = _marking(words, [0, 1], lambda s, x: (1 if x == TARGET else s, WORD if x == THREAT and not s else x))
-    target = _marking(words, [0, 1], lambda s, x: (1 if x == TARGET else s, x + "+target" if finding(x) and s else x))
-    marked = [*words, "insult+target", "threat+target"]
+def _finding(x: str) -> bool:
+    return x.split("+")[0] in (INSULT, THREAT)
 
-    def negate(s: int, x: str):
-        left = REACH if x == NEGATION else max(0, s - 1)
-        return left, x + "+negated" if finding(x) and s else x
 
-    negation = _marking(marked, list(range(REACH + 1)), negate)
-    marked = [*marked, *(x + "+negated" for x in marked if finding(x))]
-    report = _marking(marked, [0, 1], lambda s, x: (1 if x == REPORT else s, x + "+reported" if finding(x) and s else x))
-    return report.after(negation.after(target.after(threat.after(insult))))
+def _flagged(x: str, flag: str, when: object) -> str:
+    """A finding with one more flag, if it is one and ``when`` holds."""
+    if not when or not _finding(x):
+        return x
+    kind, *flags = x.split("+")
+    return "+".join([kind, *(f for f in FLAGS if f in flags or f == flag)])
+
+
+def _written(machine: Machine) -> list[str]:
+    return sorted({out for _, out in machine.arcs.values()})
+
+
+def grammar() -> tuple[Machine, Machine]:
+    """Insult, threat, target, negation and reported speech, composed into two machines over a clause's symbols.
+
+    The first reads a clause from its end, the second reads what the first wrote from its beginning, so that a finding
+    knows both sides of it. A threat is a verb with a target among the next ``REACH`` words; a verb that ends its clause
+    is one if a target was named before; with any other object it is a plain word.
+    """
+    insult = _marking(list(SYMBOLS), [0], lambda s, x: (0, x))  # an insult is a finding by itself
+
+    def threaten(s, x: str):
+        ahead = REACH if x == TARGET else max(0, s - 1) if s != "end" else 0
+        return ahead, x if x != THREAT or s not in (0, "end") else OPEN if s == "end" else WORD
+
+    threat = _marking(_written(insult), ["end", *range(REACH + 1)], threaten)
+    named = lambda s, x: (1 if x == TARGET else s, _flagged(x, "target", s))
+    told = lambda s, x: (1 if x == REPORT else s, _flagged(x, "reported", s))
+    target = _marking(_written(threat), [0, 1], named)
+    back = _marking(_written(target), [0, 1], told).after(target.after(threat.after(insult)))
+
+    def close(s: int, x: str):
+        return named(s, x) if x != OPEN else (s, THREAT + "+target" if s else WORD)
+
+    target = _marking(_written(back), [0, 1], close)
+    negation = _marking(
+        _written(target),
+        list(range(REACH + 1)),
+        lambda s, x: (REACH if x == NEGATION else max(0, s - 1), _flagged(x, "negated", s)),
+    )
+    return back, _marking(_written(negation), [0, 1], told).after(negation.after(target))
 
 
 @dataclass
@@ -111,15 +142,16 @@ class Lexicon:
 
     words: dict[str, float]
     stems: dict[str, float]
+    threats: dict[str, float] = field(default_factory=lambda: dict.fromkeys(THREATS, 1.0))
 
     def automaton(self) -> ahocorasick.Automaton:
         """All findings in one machine over characters."""
         out = ahocorasick.Automaton()
         for word, weight in self.words.items():
             out.add_word(word, (word, False, INSULT, weight))
-        for word in THREATS:
+        for word, weight in self.threats.items():
             if word not in self.words:
-                out.add_word(word, (word, False, THREAT, 1.0))
+                out.add_word(word, (word, False, THREAT, weight))
         for stem, weight in self.stems.items():
             if stem not in self.words:
                 out.add_word(stem, (stem, True, INSULT, weight))
@@ -133,7 +165,7 @@ class Reader:
     """Findings of a text's clauses."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.machine = lexicon, grammar()
+        self.lexicon, (self.back, self.ahead) = lexicon, grammar()
         self.found = lexicon.automaton() if lexicon.words or lexicon.stems else None
         self.other = {w: s for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
 
@@ -143,38 +175,44 @@ class Reader:
             weight = max((self.lexicon.stems.get(word[:n], 0.0) for n in STEMS if len(word) >= n), default=0.0)
         if weight:
             return INSULT, weight
-        if word in THREATS:
-            return THREAT, 1.0
+        if word in self.lexicon.threats:
+            return THREAT, self.lexicon.threats[word]
         return self.other.get(word, WORD), 0.0
 
-    def clauses(self, text: str) -> list[tuple[str, float]]:
-        """The heaviest finding (kind, weight) of each clause that has one."""
-        low, out = text.lower(), []
+    def read(self, symbols: list[str]) -> list[str]:
+        """What the grammar writes for the symbols of one clause."""
+        for machine in (self.back, self.ahead):  # the first from the end, so the second from the beginning
+            state, wrote = machine.start, []
+            for symbol in reversed(symbols):
+                state, out = machine.arcs[state, symbol]
+                wrote.append(out)
+            symbols = wrote
+        return symbols
+
+    def findings(self, text: str) -> Iterator[list[tuple[str, str, float]]]:
+        """All findings (kind, word, weight) of each clause that holds an entry, one list for each."""
+        low = text.lower()
         if self.found is None:
-            return out
-        done = -1
+            return
+        ends, starts, done = None, None, -1
         for end, (entry, stem, _, _) in self.found.iter(low):
             at = end - len(entry) + 1
             if at < done or (at and low[at - 1].isalnum()) or (not stem and low[end + 1 : end + 2].isalnum()):
                 continue
-            first, done = self._around(low, at)
-            best = None
-            state = self.machine.start
-            for word in _WORDS.findall(low[first:done]):
-                symbol, weight = self._symbol(word)
-                state, wrote = self.machine.arcs[state, symbol]
-                if weight and wrote.split("+")[0] in (INSULT, THREAT) and (best is None or weight > best[1]):
-                    best = wrote, weight
-            if best:
-                out.append(best)
-        return out
+            if ends is None:  # borders of all clauses, once for a text
+                cuts = list(_CLAUSE.finditer(low))
+                ends, starts = [m.start() for m in cuts] + [len(low)], [0] + [m.end() for m in cuts]
+            clause = bisect.bisect_right(starts, at) - 1
+            done = ends[clause]
+            words = _WORDS.findall(low[starts[clause] : done])
+            symbols = [self._symbol(w) for w in words]
+            wrote = self.read([s for s, _ in symbols])
+            yield [(kind, word, weight) for kind, word, (_, weight) in zip(wrote, words, symbols) if weight and _finding(kind)]
 
-    @staticmethod
-    def _around(text: str, at: int) -> tuple[int, int]:
-        """Borders of the clause at a place."""
-        first = max(text.rfind(c, 0, at) for c in ".!?;:\n") + 1
-        end = _CLAUSE.search(text, at)
-        return first, end.start() if end else len(text)
+    def clauses(self, text: str) -> list[tuple[str, float]]:
+        """The heaviest finding (kind, weight) of each clause that has one."""
+        best = [max(found, key=lambda f: f[2]) for found in self.findings(text) if found]
+        return [(kind, weight) for kind, _, weight in best]
 
 
 def features(clauses: list[tuple[str, float]]) -> np.ndarray:
@@ -233,16 +271,16 @@ def fit_kinds(x: np.ndarray, y: np.ndarray, strength: float = 4.0) -> tuple[np.n
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
     """(text, toxic) of at most ``most`` labelled documents that are not held out.
 
-    Null labels and ids are passed over; of several labels of an id, toxic wins.
+    Null labels and ids are passed over; of several labels of an id, toxic wins, and of several texts the smallest.
     """
     marks = pick(labels, "doc_id", "toxic").filter("doc_id is not null and toxic is not null")
     marks = marks.filter(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(most)
     # at most ``most`` rows of two numbers
-    return pick(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id").select(
-        F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")
-    )
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    return rows.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
 
 
 def held_out(doc_id) -> Column:
@@ -324,6 +362,35 @@ def prior_words(rows: DataFrame) -> dict[str, float]:
     return {w: 4.0 for w in INSULTS if w not in refuted}
 
 
+def _threatened(lexicon: Lexicon):
+    """The verbs that threaten in a text, each once."""
+
+    def threatened(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(lexicon)
+        for batch in batches(rows):
+            word, toxic = [], []
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                own = {w for found in reader.findings(text) for kind, w, _ in found if kind.startswith(THREAT)}
+                word += sorted(own)
+                toxic += [label] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(toxic, pa.int32())], ["word", "toxic"])
+
+    return threatened
+
+
+def learn_threats(rows: DataFrame, lexicon: Lexicon) -> dict[str, float]:
+    """Weights of threat verbs: logarithm of how much likelier toxic training rows threaten with them; 1 without any."""
+    clean, toxic = (rows.agg(F.count(F.when(F.col("toxic") == i, 1))).first()[0] for i in (0, 1))
+    if not toxic or not clean:
+        return lexicon.threats
+    used = rows.mapInArrow(_threatened(lexicon), "word string, toxic int").groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
+    )
+    # at most a row for each verb of the list
+    weights = {r.word: math.log((r.toxic * clean / toxic + math.e) / (r.clean + 1)) for r in used.collect()}
+    return {w: min(8.0, max(0.1, weights.get(w, 1.0))) for w in lexicon.threats}
+
+
 def _unexplained(lexicon: Lexicon):
     def left(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(lexicon)
@@ -354,6 +421,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
             break
         lexicon = Lexicon(lexicon.words | more.words, more.stems | lexicon.stems)
         left = stage(rows.mapInArrow(_unexplained(lexicon), rows.schema), "unexplained")
+    lexicon = replace(lexicon, threats=learn_threats(rows, lexicon))
     # numbers of at most ``most`` documents
     read = rows.mapInArrow(_read(lexicon), "x array<double>, toxic int").collect()
     x = np.array([r.x for r in read]).reshape(len(read), len(KINDS) + 1)
