@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from twinfold.llm.common import stage, with_kept
 
 DAMPING = 0.85
-ROUNDS = 12
-LINK = r"""(?i)(?:href|src)\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+#: All scores of a kind add up to 1; propagation ends when they change by less than this.
+TOLERANCE = 1e-3
+#: Links with a host; one without a scheme has that of its page. Others lead to the page's own host.
+LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
 @dataclass(frozen=True)
@@ -72,6 +74,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """Weighted edges (src, dst, weight) from links between hosts (host, html) and from the domains above hosts."""
     link = F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))))
     links = pages.select(F.col("host").alias("src"), link.alias("url"))
+    links = links.withColumn("url", F.when(F.startswith("url", F.lit("//")), F.concat(F.lit("x:"), "url")).otherwise(F.col("url")))
     links = links.select("src", host_of(F.col("url")).alias("dst")).filter("dst <> '' and src <> '' and src <> dst")
     links = links.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
     above = F.explode(F.expr("transform(sequence(1, greatest(size(split(host, '[.]')) - 2, 1)), i -> "
@@ -85,24 +88,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.union(up).union(down).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank: (kind, host, score) from edges (kind, src, dst, weight) and seeds (kind, host, seed).
 
-    Seeds of a kind add up to 1. A host without edges keeps what it gets back to itself only as its seed.
+    Seeds of a kind add up to 1, and so do the scores: what hosts without edges hold goes back to the seeds. Rounds end
+    when the scores of no kind change by more than ``tolerance`` in all; each changes them by less than ``damping``
+    times the round before, so they do end.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     edges = edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("part"))
-    edges = stage(edges, "edges")
-    score = stage(seeds.select("kind", "host", F.col("seed").alias("score")), "scores")
-    restart = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
-    restart = stage(restart, "restart")
-    for i in range(rounds):
-        sent = edges.join(score.withColumnRenamed("host", "src"), ["kind", "src"])
-        sent = sent.select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("part") * damping).alias("score"))
-        score = sent.union(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if i % 3 == 2 or i == rounds - 1:
-            score = stage(score, "scores")
-    return score
+    edges, seeds = stage(edges, "edges"), stage(seeds.select("kind", "host", "seed"), "seeds")
+    score = seeds.select("kind", "host", F.col("seed").alias("score"))
+    sent, change = score.limit(0).withColumnRenamed("score", "sent"), 1.0
+    while change > tolerance:
+        moved = edges.join(score.withColumnRenamed("host", "src"), ["kind", "src"])
+        moved = moved.select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("part") * damping).alias("sent"))
+        both = moved.withColumn("old", F.lit(0.0)).union(sent.select("kind", "host", F.lit(0.0), "sent"))
+        both = both.groupBy("kind", "host").agg(F.sum("sent").alias("sent"), F.sum("old").alias("old"))
+        sent = stage(both, "sent")
+        # a row for each kind
+        sums = sent.groupBy("kind").agg(F.sum("sent").alias("kept"), F.sum(F.abs(F.col("sent") - F.col("old"))).alias("change"))
+        kept = {r.kind: (r.kept, r.change) for r in sums.collect()}
+        change = max((c for _, c in kept.values()), default=0.0)
+        back = F.lit(1.0)
+        for kind, (part, _) in kept.items():
+            back = F.when(F.col("kind") == kind, F.lit(1.0 - part)).otherwise(back)
+        score = sent.select("kind", "host", F.col("sent").alias("score"))
+        score = score.union(seeds.select("kind", "host", F.col("seed") * back))
+        score = score.groupBy("kind", "host").agg(F.sum("score").alias("score"))
+    return stage(score, "scores")
 
 
 def judge_pages(pages: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
