@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from twinfold.llm.common import stage, with_kept
 
 DAMPING = 0.85
-#: All scores of a kind add up to 1; propagation ends when they change by less than this.
-TOLERANCE = 1e-3
+#: Rounds between two looks at the change, and the change, as a share of all scores, at which propagation ends.
+ROUNDS = 6
+TOLERANCE = 0.01
 #: Links with a host; one without a scheme has that of its page. Others lead to the page's own host.
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
@@ -91,32 +92,30 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank: (kind, host, score) from edges (kind, src, dst, weight) and seeds (kind, host, seed).
 
-    Seeds of a kind add up to 1, and so do the scores: what hosts without edges hold goes back to the seeds. Rounds end
-    when the scores of no kind change by more than ``tolerance`` in all; each changes them by less than ``damping``
-    times the round before, so they do end.
+    Seeds of a kind add up to 1, and so do the scores. What hosts without edges hold goes back to the seeds: that makes
+    the same scores but for a common factor, so the sum is set at the end. Rounds run ``ROUNDS`` at a time, until these
+    change the scores of no kind by more than ``tolerance`` of their sum; each round changes them by less than
+    ``damping`` times the one before, so they do end.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     edges = edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("part"))
     edges, seeds = stage(edges, "edges"), stage(seeds.select("kind", "host", "seed"), "seeds")
-    score = seeds.select("kind", "host", F.col("seed").alias("score"))
-    sent, change = score.limit(0).withColumnRenamed("score", "sent"), 1.0
+    restart = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
+    score, change = seeds.select("kind", "host", F.col("seed").alias("score")), 1.0
     while change > tolerance:
-        moved = edges.join(score.withColumnRenamed("host", "src"), ["kind", "src"])
-        moved = moved.select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("part") * damping).alias("sent"))
-        both = moved.withColumn("old", F.lit(0.0)).union(sent.select("kind", "host", F.lit(0.0), "sent"))
-        both = both.groupBy("kind", "host").agg(F.sum("sent").alias("sent"), F.sum("old").alias("old"))
-        sent = stage(both, "sent")
+        new = score
+        for _ in range(ROUNDS):
+            sent = edges.join(new.withColumnRenamed("host", "src"), ["kind", "src"])
+            sent = sent.select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("part") * damping).alias("score"))
+            new = sent.union(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        both = new.withColumn("old", F.lit(0.0)).union(score.select("kind", "host", F.lit(0.0), "score"))
+        both = stage(both.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("old").alias("old")), "scores")
         # a row for each kind
-        sums = sent.groupBy("kind").agg(F.sum("sent").alias("kept"), F.sum(F.abs(F.col("sent") - F.col("old"))).alias("change"))
-        kept = {r.kind: (r.kept, r.change) for r in sums.collect()}
-        change = max((c for _, c in kept.values()), default=0.0)
-        back = F.lit(1.0)
-        for kind, (part, _) in kept.items():
-            back = F.when(F.col("kind") == kind, F.lit(1.0 - part)).otherwise(back)
-        score = sent.select("kind", "host", F.col("sent").alias("score"))
-        score = score.union(seeds.select("kind", "host", F.col("seed") * back))
-        score = score.groupBy("kind", "host").agg(F.sum("score").alias("score"))
-    return stage(score, "scores")
+        moved = F.sum(F.abs(F.col("score") - F.col("old"))) / F.sum("score")
+        change = max((r[0] for r in both.groupBy("kind").agg(moved.alias("moved")).select("moved").collect()), default=0.0)
+        score = both.select("kind", "host", "score")
+    total = score.groupBy("kind").agg(F.sum("score").alias("total"))
+    return score.join(total, "kind").select("kind", "host", (F.col("score") / F.col("total")).alias("score"))
 
 
 def judge_pages(pages: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
