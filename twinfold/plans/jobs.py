@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.functions.text import fill_pattern
+from twinfold.functions.text import clean_query, fill_pattern, normalize_key, split_pipe
 from twinfold.operators.dedup import (
     Duplicates,
     Prepared,
@@ -19,6 +19,7 @@ from twinfold.operators.dedup import (
     report_links,
     with_key,
 )
+from twinfold.operators.explain import explain_pairs
 from twinfold.operators.pairs import drop_higher_id, no_dup, take_no_dup_light, take_no_duplicated
 from twinfold.operators.validate import validate
 from twinfold.schema import MatchSchema
@@ -113,3 +114,30 @@ def split_by_pattern(lines: DataFrame, schema: MatchSchema, column: str = "value
     checked = validate(lines, schema, column)
     short = F.size(cells) <= 2
     return checked.withColumn("pattern", F.when(~short, fill_pattern(cells)))
+
+
+def explain_lines(requests: DataFrame, records: DataFrame, schema: MatchSchema) -> DataFrame:
+    """Why raw lines are, or are not, duplicates of stored records: requests (doc, id) with outcome, reason and report.
+
+    ``records`` hold the normalised id that ``index.build_index`` adds. Lines are cleaned as queries are: entities are
+    resolved and ``:`` is a space. A line without a cell for each field, null included, is a ``bad_line``, an unknown id ``not_found``; both
+    have no reason and no report. Each record of an id has a row.
+    """
+    cells = split_pipe(clean_query("doc"))
+    asked = requests.select("doc", "id", cells.alias("_cells"), normalize_key("id").alias("_id"))
+    good = F.coalesce(F.size("_cells") > schema.max_pos, F.lit(False))
+    one = asked.where(good).select("doc", "id", "_id", *[c.alias(f"{n}_1") for n, c in _cells_by_name(schema)])
+    own = F.col(f"{schema.id_field.name}_norm").alias("_id")
+    two = records.select(own, *[F.col(n).alias(f"{n}_2") for n in schema.names])
+    told = explain_pairs(one.join(two, "_id"), schema)
+    known = two.select("_id").distinct()
+    rest = lambda rows, outcome: rows.select(
+        "doc", "id", F.lit(outcome).alias("outcome"), *[F.lit(None).cast("string").alias(c) for c in ("reason", "report")]
+    )
+    found = told.select("doc", "id", F.lit("explained").alias("outcome"), "reason", "report")
+    missing = rest(one.join(known, "_id", "left_anti"), "not_found")
+    return found.unionByName(missing).unionByName(rest(asked.where(~good), "bad_line"))
+
+
+def _cells_by_name(schema: MatchSchema) -> list[tuple[str, Column]]:
+    return [(f.name, F.coalesce(F.get("_cells", F.lit(f.pos)), F.lit(""))) for f in schema.by_pos]
