@@ -1,16 +1,18 @@
 """Near-duplicate documents: an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
 Documents with the same set of shingles are one class. A class has ``VALUES`` MinHash values, and each of ``TREES``
-orders starts at another place of them. Classes that agree on the first ``DEPTH`` values of an order are a region of
-that tree; a region of more than ``REGION`` classes is cut by longer prefixes, so its depth follows the data.
-
-Inside a region every class is a neighbour of those with the longest agreement: the links of a spanning tree that
-takes the largest estimated similarities first, and the links to the region's most central class. The latter matters
-for copies of one original that are all near to it but not to each other; for a large region it is found by agreement
-with a few pivots, in one pass. Pairs are confirmed by the exact intersection of both sets. Then the components are
-known, and regions that still hold several are searched again for pairs across them that were not tried before, more
-of them in each round, until none is left. Last, the large regions are searched as they are in the same way: what is
-outside the largest component of a region is compared with the whole region, in blocks.
+orders starts at another place of them. Every order is sorted, so that a class lies next to those with which it has
+the longest common prefix: the prefix is long where the order is crowded and short where it is not. Neighbours with at
+least ``DEPTH`` values in common are candidates. Classes with the same first ``DEPTH`` values are a region of that
+order. In regions of more than ``REGION`` classes the most central class is a candidate for all of them as well, for
+copies of one original that are all near to it but not to each other; it is found by agreement with a few pivots, in
+one pass. Candidates are confirmed by the exact intersection of both sets.
+
+Neighbours are few, so links may be missing. Last, therefore, all pairs of a region that lie in different components
+and agree in enough values are decided: what is outside the region's largest component meets the whole region, in
+blocks of bounded weight. A block first finds by signatures which of its classes have such pairs, then gets the sets
+of these and returns links that join its components; no pair leaves it. A pair is decided in the first order only
+that has it in one region.
 """
 
 from __future__ import annotations
@@ -33,20 +35,16 @@ WORDS = 5
 ALIKE = 85
 VALUES = 64
 TREES = 16
-#: Values that a region agrees on at least, and the step from tree to tree.
+#: Values that a region agrees on, and the step from order to order.
 DEPTH = 4
-DEPTHS = (8, 16, 32, 64)
 REGION = 64
 #: Pairs are confirmed if their share of agreeing MinHash values is at most so many standard errors below the threshold.
 ERRORS = 5
-#: Pairs with this share count as linked until they are confirmed, which spares the tree other pairs between them.
-SURE = 0.92
 PIVOTS = 8
 CHUNK = 256
-#: Classes of a block where a large region is compared.
+#: Weight of a block on either side: a class weighs 1, and 1 more for so many shingles.
 BLOCK = 512
-#: Pairs between two components that a round tries: so many times those of the round before.
-FASTER = 16
+HEAVY = 2048
 
 _WORD = Rolling(31)
 _DRAW = np.random.default_rng(32)
@@ -151,112 +149,43 @@ def _prefix(tree, depth: int):
     return F.xxhash64(tree, F.lit(depth), twice.substr(tree * (4 * DEPTH) + 1, F.lit(4 * depth)))
 
 
-def _regions(classes: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
-    """Regions of at most ``REGION`` classes (key, id), and those of the first depth that are larger (key, id, sign)."""
+def _orders(classes: DataFrame, depth: int) -> DataFrame:
+    """The classes of all regions with more than one (key, size, tree, id, sign, weight)."""
     keys = classes.select("id", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sign")
-    keys = keys.select("id", "tree", _prefix(F.col("tree"), start).alias("key"))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    keys = keys.select("id", "tree", _prefix(F.col("tree"), depth).alias("key"))
+    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     rows = stage(keys.join(sizes, "key"), "regions")
-    large = rows.filter(F.col("n") > REGION)
-    found, signs = [rows.filter(F.col("n") <= REGION).select("key", "id")], classes.select("id", "sign")
-    wide = large = stage(large.join(signs, "id").select("key", "id", "tree", "sign"), "large")
-    for depth in DEPTHS:
-        if large.isEmpty():
-            break
-        keys = large.select("id", "tree", "sign", _prefix(F.col("tree"), depth).alias("key"))
-        sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = stage(keys.join(sizes, "key"), "deeper")
-        found.append(rows.filter(F.col("n") <= REGION).select("key", "id"))
-        large = rows.filter(F.col("n") > REGION)
-        if depth == DEPTHS[-1]:  # equal in all values: any parts do, as the central class joins them
-            part = F.expr(f"pmod(xxhash64(id), cast(ceil(n / {REGION}) as int))")
-            found.append(large.select(F.xxhash64("key", part).alias("key"), "id"))
-    regions = found[0]
-    for x in found[1:]:
-        regions = regions.union(x)
-    return regions, wide
-
-
-def _forests(a: list, b: list, tries: int, sure: list[tuple], tried: list[bool]) -> list[int]:
-    """Places of the pairs of groups (a, b) that up to ``tries`` spanning forests take, each of what others left.
-
-    ``sure`` are groups that count as linked. Pairs that are tried anyway join groups in the first forest only.
-    """
-    out, left = [], range(len(a))
-    for _ in range(tries):
-        root: dict = {}
+    return stage(rows.join(classes.select("id", "sign", "weight"), "id"), "orders")
 
-        def top(x):
-            while root.setdefault(x, x) != x:
-                root[x] = x = root[root[x]]
-            return x
 
-        def joins(x, y) -> bool:
-            x, y = top(x), top(y)
-            root[max(x, y)] = min(x, y)
-            return x != y
-
-        for x, y in sure:
-            joins(x, y)
-        rest, before = [], len(out)
-        for k in left:
-            if not joins(a[k], b[k]):
-                rest.append(k)
-            elif not tried[k]:
-                out.append(k)
-        left = [k for k in rest if not tried[k]]
-        if not left or (len(out) == before and len(left) == len(rest)):
-            break
-    return out
+def _neighbours(likely: int, depth: int):
+    """Rows (tree, id, order) as they are sorted to pairs that lie next to each other."""
+
+    def neighbours(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in rows:
+            if not batch.num_rows:
+                continue
+            own = (batch.column("tree").to_numpy(), batch.column("id").to_numpy(), _matrix(batch.column("order")))
+            tree, ids, values = own if before is None else map(np.concatenate, zip(before, own))
+            before = tree[-1:], ids[-1:], values[-1:]
+            same = values[1:] == values[:-1]
+            near = (tree[1:] == tree[:-1]) & same[:, :depth].all(axis=1) & (same.sum(axis=1) >= likely)
+            at = np.nonzero(near)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[at + 1])], ["hub", "other"])
 
+    return neighbours
 
-def _spanning(
-    ids: np.ndarray, signs: np.ndarray, group: np.ndarray, failed: list[set], likely: int, tries: int = 1
-) -> list[tuple[int, int]]:
-    """Pairs of a region to confirm: to its central class, and of spanning trees by estimated similarity."""
-    n = len(ids)
-    agree = np.zeros((n, n), np.int32)
-    for i in range(n):
-        agree[i] = (signs == signs[i]).sum(axis=1)
-    open_ = (group[:, None] != group[None, :]) & (agree >= likely)
-    for i, partners in enumerate(failed):
-        if partners:
-            hit = [j for j in range(n) if ids[j] in partners]
-            open_[i, hit] = open_[hit, i] = False
-    if not open_.any():
-        return []
-    hub = int(agree.sum(axis=1).argmax())
-    pairs = {(hub, int(j)) for j in np.nonzero(open_[hub])[0]}
-    a, b = np.nonzero(np.triu(open_, 1))
-    # these are as good as linked; if one is not, the next round sees it
-    sure = [(int(group[hub]), int(group[j])) for _, j in pairs if agree[hub, j] >= SURE * VALUES]
-    order = np.argsort(-agree[a, b], kind="stable")
-    a, b = a[order], b[order]
-    tried = ((a == hub) | (b == hub)).tolist()
-    for k in _forests(group[a].tolist(), group[b].tolist(), tries, sure, tried):
-        pairs.add((int(a[k]), int(b[k])))
-    return [(i, j) for i, j in pairs]
-
-
-def _search(likely: int, tries: int):
-    def search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows, 4 << 20):
-            found = []
-            for region in batch.column("rows").to_pylist():
-                if len({r["group"] for r in region}) < 2:
-                    continue
-                region.sort(key=lambda r: r["id"])
-                ids = np.array([r["id"] for r in region])
-                signs = np.frombuffer(b"".join(r["sign"] for r in region), "<u4").reshape(-1, VALUES)
-                group = np.array([r["group"] for r in region])
-                failed = [set(r["failed"] or ()) for r in region]
-                found += [(int(ids[i]), int(ids[j])) for i, j in _spanning(ids, signs, group, failed, likely, tries)]
-            if found:
-                hub, other = zip(*found)
-                pairs = [pa.array(hub, pa.int64()), pa.array(other, pa.int64())]
-                yield pa.RecordBatch.from_arrays(pairs, ["hub", "other"])
-
-    return search
+
+def _neighbour_pairs(orders: DataFrame, forest: Forest) -> DataFrame:
+    """Pairs with the longest common prefix in each sorted order.
+
+    Two that a border of partitions parts are no pair; another order or the last step finds what that costs.
+    """
+    start = F.col("tree") * (4 * DEPTH) + 1
+    rows = orders.select("tree", "id", F.concat("sign", "sign").substr(start, F.lit(4 * VALUES)).alias("order"))
+    rows = rows.repartitionByRange("tree", "order", "id").sortWithinPartitions("tree", "order", "id")
+    return rows.mapInArrow(_neighbours(forest.likely, forest.depth), "hub long, other long")
 
 
 def _central(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,61 +226,104 @@ def _hub_pairs(wide: DataFrame, likely: int) -> DataFrame:
     return both.mapInArrow(_near_hub(likely), "hub long, other long")
 
 
-def _labelled(rows: DataFrame, groups: DataFrame | None, failed: DataFrame | None) -> DataFrame:
-    """Classes with their component so far (group) and those of their pairs that were tried and are none (failed)."""
-    if failed is None:
-        return rows.withColumn("group", F.col("id")).withColumn("failed", F.lit(None).cast("array<long>"))
-    if groups is None:
-        rows = rows.withColumn("group", F.col("id"))
-    else:
-        rows = rows.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
-        rows = rows.withColumn("group", F.coalesce("component", "id")).drop("component")
-    return rows.join(failed, "id", "left")
-
-
-def _between(likely: int, tries: int):
-    def between(block: pd.DataFrame) -> pd.DataFrame:
-        left, right = block[block["left"]], block[~block["left"]]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"hub": [], "other": []}).astype("int64")
-        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
-        x, y = (np.frombuffer(b"".join(s["sign"]), "<u4").reshape(-1, VALUES) for s in (left, right))
-        agree = np.stack([(y == one).sum(axis=1, dtype=np.int16) for one in x])
-        open_ = (left["group"].to_numpy()[:, None] != right["group"].to_numpy()[None, :]) & (agree >= likely)
-        place, other_place = {c: i for i, c in enumerate(ids.tolist())}, {c: i for i, c in enumerate(others.tolist())}
-        for i, some in enumerate(left["failed"]):
-            open_[i, [other_place[c] for c in (some if some is not None else ()) if c in other_place]] = False
-        for j, some in enumerate(right["failed"]):
-            open_[[place[c] for c in (some if some is not None else ()) if c in place], j] = False
-        a, b = np.nonzero(open_)
-        order = np.argsort(-agree[a, b], kind="stable")
-        a, b = a[order], b[order]
-        one, two = left["group"].to_numpy()[a].tolist(), right["group"].to_numpy()[b].tolist()
-        take = _forests(one, two, tries, [], [False] * len(a))
-        return pd.DataFrame({"hub": ids[a[take]], "other": others[b[take]]}).astype("int64")
-
-    return between
-
-
-def _wide_pairs(
-    wide: DataFrame, groups: DataFrame | None, failed: DataFrame | None, likely: int, tries: int
-) -> DataFrame:
-    """Pairs of large regions between components: classes outside a region's largest one against all, in blocks."""
-    rows = _labelled(wide.select("key", "id", "sign"), groups, failed)
-    sizes = rows.groupBy("key", "group").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("size"))
-    blocks = [F.ceil(n / BLOCK).cast("int") for n in (F.col("size") - F.col("top.n"), F.col("size"))]
-    sizes = sizes.filter(F.col("size") > F.col("top.n")).select("key", F.col("top.group").alias("main"), *[
-        n.alias(c) for n, c in zip(blocks, ("parts", "all_parts"))
-    ])
-    rows = stage(rows.join(sizes, "key"), "open")
-    columns = ["key", "i", "j", "id", "sign", "group", "failed", "left"]
-    left = rows.filter(F.col("group") != F.col("main")).withColumn("i", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
-    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("all_parts") - 1))).withColumn("left", F.lit(True))
-    right = rows.withColumn("j", F.expr("cast(pmod(xxhash64(id), all_parts) as int)"))
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("left", F.lit(False))
+def _runs(rows: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Tables of the rows with equal values in a column that rows are sorted by."""
+    held: list[pa.RecordBatch] = []
+    for batch in rows:
+        if not batch.num_rows:
+            continue
+        values = batch.column(column).to_numpy()
+        if held and held[-1].column(column)[0].as_py() != values[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        start = 0
+        for end in (np.nonzero(values[1:] != values[:-1])[0] + 1).tolist():
+            yield pa.Table.from_batches([*held, batch.slice(start, end - start)])
+            held, start = [], end
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _open_pairs(block: pa.Table, likely: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs of a block to decide, those that agree most first."""
+    left, outside, ids, group = (block[c].to_numpy() for c in ("left", "outside", "id", "group"))
+    signs = _matrix(block["sign"])
+    x, y = np.nonzero(left)[0], np.nonzero(~left)[0]
+    agree = np.empty((len(x), len(y)), np.int16)
+    for k, i in enumerate(x):
+        agree[k] = (signs[y] == signs[i]).sum(axis=1)
+    # two that are both outside the largest component meet twice
+    open_ = (agree >= likely) & (group[x][:, None] != group[y]) & (~outside[y] | (ids[x][:, None] < ids[y]))
+    i, j = np.nonzero(open_)
+    agree, i, j = agree[i, j], x[i], y[j]
+    seen = np.zeros(len(i), bool)
+    for tree in range(int(block["tree"][0].as_py()) if len(i) else 0):
+        some = (tree * DEPTH + np.arange(depth)) % VALUES
+        seen |= (signs[np.ix_(i, some)] == signs[np.ix_(j, some)]).all(axis=1)
+    order = np.argsort(-agree, kind="stable")
+    order = order[~seen[order]]
+    return i[order], j[order]
+
+
+def _taking_part(likely: int, depth: int):
+    def taking_part(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _runs(rows, "block"):
+            some = np.unique(np.concatenate(_open_pairs(block, likely, depth)))
+            if len(some):
+                yield from block.take(pa.array(some)).combine_chunks().to_batches()
+
+    return taking_part
+
+
+def _joining(least: int, likely: int, depth: int):
+    def joining(block: pa.Table, sets: pa.Table) -> pa.Table:
+        a, b, top = [], [], {}
+        items = {i: np.frombuffer(x, "<u8") for i, x in zip(sets["id"].to_pylist(), sets["items"].to_pylist())}
+
+        def root(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        if block.num_rows:
+            ids, group = block["id"].to_pylist(), block["group"].to_pylist()
+            for i, j in zip(*(x.tolist() for x in _open_pairs(block, likely, depth))):
+                x, y = root(group[i]), root(group[j])
+                if x != y and alike(items[ids[i]], items[ids[j]], least):
+                    top[x] = y
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return joining
+
+
+def _crossing(orders: DataFrame, groups: DataFrame, texts: DataFrame, classes: DataFrame, forest: Forest) -> DataFrame:
+    """Links (a, b) that join different components of a region, after all of its pairs between these were decided."""
+    rows = orders.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+    rows = rows.select("key", "tree", "id", "sign", "weight", F.coalesce("component", "id").alias("group"))
+    sizes = rows.groupBy("key", "group").agg(F.sum("weight").alias("weight"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("weight", "group")).alias("top"), F.sum("weight").alias("all"))
+    number = lambda weight: F.ceil(weight / BLOCK).cast("int")
+    sizes = sizes.filter(F.col("all") > F.col("top.weight")).select(
+        "key", F.col("top.group").alias("main"), number(F.col("all") - F.col("top.weight")).alias("parts"),
+        number(F.col("all")).alias("all_parts"),
+    )
+    rows = stage(rows.join(sizes, "key").withColumn("outside", F.col("group") != F.col("main")), "parted")
+    part = lambda n: F.expr(f"cast(pmod(xxhash64(id), {n}) as int)")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.filter("outside").withColumn("left", F.lit(True)).withColumn("i", part("parts")).withColumn("j", every("all_parts"))
+    right = rows.withColumn("left", F.lit(False)).withColumn("j", part("all_parts")).withColumn("i", every("parts"))
+    columns = [F.xxhash64("key", "i", "j").alias("block"), "tree", "id", "sign", "group", "left", "outside"]
     both = left.select(*columns).union(right.select(*columns))
-    return both.groupBy("key", "i", "j").applyInPandas(_between(likely, tries), "hub long, other long")
+    both = both.repartition("block").sortWithinPartitions("block")
+    some = stage(both.mapInArrow(_taking_part(forest.likely, forest.depth), both.schema), "open")
+    ends = some.groupBy("id").agg(F.collect_set("block").alias("chunks")).join(classes.select("id", "row"), "id")
+    sets = texts.join(ends.hint("shuffle_hash"), "row").select("text", "id", "chunks")
+    sets = sets.mapInArrow(_sets, "chunk long, id long, items binary")
+    found = some.groupBy("block").cogroup(sets.groupBy("chunk"))
+    return stage(found.applyInArrow(_joining(forest.alike, forest.likely, forest.depth), "a long, b long"), "crossing")
 
 
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,53 +393,26 @@ def near_duplicates(texts: DataFrame, forest: Forest = Forest()) -> DataFrame:
     sketch = "row long, n_shingles long, sum1 long, sum2 long, sign binary"
     sketch = stage(texts.select("row", "text").mapInArrow(_sketch, sketch), "sketch")
     id_ = F.xxhash64("sum1", "sum2", "n_shingles").alias("id")
-    some = sketch.filter("n_shingles > 0").select(id_, "row", "sign")
-    classes = some.groupBy("id").agg(F.min("row").alias("row"), F.max("sign").alias("sign"))
+    weight = F.expr(f"1 + n_shingles div {HEAVY}").alias("weight")
+    some = sketch.filter("n_shingles > 0").select(id_, "row", "sign", weight)
+    classes = some.groupBy("id").agg(F.min("row").alias("row"), F.max("sign").alias("sign"), F.max("weight").alias("weight"))
     classes = stage(classes, "classes")
-    regions, wide = _regions(classes, forest.depth)
-    # many trees have the same region: one is enough
-    sets = regions.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids").distinct()
-    sets = stage(sets.select(F.monotonically_increasing_id().alias("region"), "ids"), "sets")
-    # the signatures that the rounds need are those of classes in some region
-    members = sets.select("region", F.explode("ids").alias("id")).join(classes.select("id", "sign"), "id")
-    members = stage(members, "members")
-    groups = failed = links = None
-    narrow = wide.isEmpty()
-    more = None if narrow else _hub_pairs(wide, forest.likely)
-    tries, last = 1, False
-    while True:
-        if last:
-            pairs = _wide_pairs(wide, groups, failed, forest.likely, tries)
-        else:
-            rows = _labelled(members, groups, failed)
-            rows = rows.groupBy("region").agg(F.collect_list(F.struct("id", "sign", "group", "failed")).alias("rows"))
-            pairs = rows.select("rows").mapInArrow(_search(forest.likely, tries), "hub long, other long")
-        pairs = pairs if more is None else pairs.union(more)
-        least, most = F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
-        pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
-        pairs = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
-        pairs, more = stage(pairs, "pairs"), None
-        if pairs.isEmpty():
-            if last or narrow:
-                break
-            last = True
-            continue
-        tries *= FASTER
-        tried = _confirmed(pairs, texts, classes, forest.alike)
-        new = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            groups = components(links)
-        off = tried.filter("not linked").groupBy(F.col("other").alias("id")).agg(F.collect_list("hub").alias("failed"))
-        if failed is not None:
-            off = failed.union(off).groupBy("id").agg(F.flatten(F.collect_list("failed")).alias("failed"))
-        failed = stage(off, "failed")
+    orders = _orders(classes, forest.depth)
+    pairs = _neighbour_pairs(orders, forest)
+    pairs = pairs.union(_hub_pairs(orders.filter(F.col("size") > REGION).select("key", "id", "sign"), forest.likely))
+    # the end that was the hub stays the hub: chunks of pairs are made around it
+    least, most = F.least("hub", "other").alias("x"), F.greatest("hub", "other").alias("y")
+    pairs = pairs.groupBy(least, most).agg(F.min("hub").alias("hub"))
+    pairs = pairs.select("hub", F.when(F.col("hub") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("other"))
+    tried = _confirmed(stage(pairs, "pairs"), texts, classes, forest.alike)
+    links = tried.filter("linked").select(F.col("hub").alias("a"), F.col("other").alias("b"))
+    groups = components(links)
+    more = _crossing(orders, groups, texts, classes, forest)
+    if not more.isEmpty():
+        groups = components(links.union(more))
     whole = sketch.select("row", "n_shingles", F.when(F.col("n_shingles") > 0, id_).alias("id"))
-    if groups is None:
-        whole = whole.withColumn("group", F.col("id"))
-    else:
-        whole = whole.join(groups.withColumnRenamed("node", "id"), "id", "left")
-        whole = whole.withColumn("group", F.coalesce("component", "id"))
+    whole = whole.join(groups.withColumnRenamed("node", "id"), "id", "left")
+    whole = whole.withColumn("group", F.coalesce("component", "id"))
     return whole.select("row", "n_shingles", "group")
 
 
