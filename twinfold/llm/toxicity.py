@@ -14,7 +14,7 @@ import bisect
 import itertools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import ahocorasick
@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 
 from twinfold.llm.common import batches, pick, stage, with_kept
 
-#: Labelled documents that the model is learned from, at most; chosen by a hash of their ids.
-SAMPLE = 20_000
 #: Characters of stems that are tried.
 STEMS = (4, 5, 6, 7, 8)
 #: A learned entry has to be this much more frequent in toxic documents than by chance, in natural logarithms beyond
@@ -242,13 +240,18 @@ def _prior_weights() -> np.ndarray:
     return np.array([*weight, 0.5])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps, each weight pulled towards its prior."""
+def _sums(x: np.ndarray, y: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the logistic loss over rows that count ``n`` times."""
+    p = 1 / (1 + np.exp(-np.clip(x @ weight, -60, 60)))
+    return x.T @ ((p - y) * n), (x * ((p * (1 - p) + 1e-9) * n)[:, None]).T @ x
+
+
+def _logistic(sums: Callable, prior: np.ndarray, pull: np.ndarray) -> np.ndarray:
+    """Logistic regression by Newton steps, each weight pulled towards its prior. ``sums``: gradient and curvature."""
     weight = prior.copy()
     for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ weight, -60, 60)))
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(pull)
-        move = np.linalg.solve(hess, x.T @ (p - y) + (weight - prior) * pull)
+        slope, hess = sums(weight)
+        move = np.linalg.solve(hess + np.diag(pull), slope + (weight - prior) * pull)
         move *= min(1.0, 2.0 / (np.abs(move).max() + 1e-12))
         weight = weight - move
         if np.abs(move).max() < 1e-6:
@@ -256,29 +259,59 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull: np.ndarray)
     return weight
 
 
-def fit_kinds(x: np.ndarray, y: np.ndarray, strength: float = 4.0) -> tuple[np.ndarray, float]:
-    """Weights of the kinds and the bias: first the prior weights are scaled as one, then each is fitted."""
+def _design(x: np.ndarray, prior: np.ndarray | None) -> np.ndarray:
+    """Rows of the regression: the kinds, or their sum under the prior weights, and a one."""
+    return np.hstack([x if prior is None else (x @ prior)[:, None], np.ones((len(x), 1))])
+
+
+def _added(prior: np.ndarray | None, weight: np.ndarray):
+    """Gradient and curvature of a task's rows, as one row."""
+
+    def added(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(weight) * (len(weight) + 1))
+        for batch in rows:
+            x = np.array(batch.column("x").to_pylist()).reshape(batch.num_rows, -1)
+            if len(x):
+                y, n = (np.array(batch.column(c).to_pylist(), float) for c in ("toxic", "n"))
+                total += np.concatenate([part.ravel() for part in _sums(_design(x, prior), y, n, weight)])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["total"])
+
+    return added
+
+
+def fit_kinds(read: DataFrame, strength: float = 4.0) -> tuple[np.ndarray, float]:
+    """Weights of the kinds and the bias: first the prior weights are scaled as one, then each is fitted.
+
+    ``read`` (x, toxic, n): features, label and number of training rows. A step adds them up in tasks.
+    """
     prior, bias = _prior_weights(), -3.0
-    if len(y) == 0 or y.min() == y.max():
+    low, high = read.agg(F.min("toxic"), F.max("toxic")).first()
+    if low is None or low == high:
         return prior, bias
-    one = np.ones((len(x), 1))
-    scale, bias = _logistic(np.hstack([(x @ prior)[:, None], one]), y, np.array([1.0, bias]), np.array([1.0, 0.01]))
-    prior = np.append(prior * max(scale, 0.1), bias)
-    *weight, bias = _logistic(np.hstack([x, one]), y, prior, np.append(np.full(len(prior) - 1, strength), 0.01))
+
+    def sums(by: np.ndarray | None):
+        def of(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            # a row of some hundred numbers for each task
+            total = sum(np.array(r.total) for r in read.mapInArrow(_added(by, weight), "total array<double>").collect())
+            return total[: len(weight)], total[len(weight) :].reshape(len(weight), len(weight))
+
+        return of
+
+    scale, bias = _logistic(sums(prior), np.array([1.0, bias]), np.array([1.0, 0.01]))
+    start = np.append(prior * max(scale, 0.1), bias)
+    *weight, bias = _logistic(sums(None), start, np.append(np.full(len(start) - 1, strength), 0.01))
     return np.maximum(weight, 0.0), float(bias)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``most`` labelled documents that are not held out.
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic) of all labelled documents that are not held out.
 
     Null labels and ids are passed over; of several labels of an id, toxic wins, and of several texts the smallest.
     """
     marks = pick(labels, "doc_id", "toxic").filter("doc_id is not null and toxic is not null")
     marks = marks.filter(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    marks = marks.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(most)
-    # at most ``most`` rows of two numbers
-    rows = pick(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id")
+    rows = pick(docs, "doc_id", "text").join(marks, "doc_id")
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     return rows.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
 
@@ -335,7 +368,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count(F.when(F.col("toxic") > 0, 1)).alias("forms")
     )
     good = (_surprise(F.col("toxic"), F.col("clean"), share) > least) & (F.col("clean") <= CLEAN * (F.col("toxic") + F.col("clean")))
-    # what is collected has at most as many entries as the bounded sample has words that stand out
+    # what is collected has at most as many entries as the training rows have words that stand out
     found = {r.word: (r.toxic, r.clean) for r in seen.filter(good).collect()}
     found |= {r.stem + "*": (r.toxic, r.clean) for r in stems.filter(good & (F.col("forms") >= 3)).collect()}
     plain, ends = {e for e in found if e[-1] != "*"}, {e[:-1] for e in found if e[-1] == "*"}
@@ -411,9 +444,9 @@ def _read(lexicon: Lexicon):
     return read
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    """Lexicon and weights from at most ``most`` labelled documents that are not held out."""
-    rows = stage(training_rows(docs, labels, most), "training")
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """Lexicon and weights from all labelled documents that are not held out."""
+    rows = stage(training_rows(docs, labels), "training")
     lexicon, left = Lexicon(prior_words(rows), {}), rows
     for _ in range(ROUNDS):
         more = learn_lexicon(left)
@@ -422,10 +455,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
         lexicon = Lexicon(lexicon.words | more.words, more.stems | lexicon.stems)
         left = stage(rows.mapInArrow(_unexplained(lexicon), rows.schema), "unexplained")
     lexicon = replace(lexicon, threats=learn_threats(rows, lexicon))
-    # numbers of at most ``most`` documents
-    read = rows.mapInArrow(_read(lexicon), "x array<double>, toxic int").collect()
-    x = np.array([r.x for r in read]).reshape(len(read), len(KINDS) + 1)
-    weight, bias = fit_kinds(x, np.array([r.toxic for r in read], float))
+    read = rows.mapInArrow(_read(lexicon), "x array<double>, toxic int").groupBy("x", "toxic").agg(F.count("*").alias("n"))
+    weight, bias = fit_kinds(stage(read, "features"))
     return Model(lexicon, weight, bias)
 
 
@@ -441,12 +472,12 @@ def score(model: Model, text) -> Column:
     return scored(text)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *keep: str, most: int = SAMPLE) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:
     """Score of each row of ``docs`` (doc_id, text and the columns ``keep``): keep, held_out, score, predicted.
 
     ``labels`` (doc_id, toxic) may be empty; then the prior lexicon and weights hold. A null id is not held out.
     """
-    model = learn(docs, labels, most)
+    model = learn(docs, labels)
     rows = with_kept(docs, ["doc_id", "text"], keep)
     rows = rows.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("score", score(model, F.col("text")))
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
