@@ -78,7 +78,7 @@ def open_match_index(spark: SparkSession, path: str) -> Prepared:
     about = {r.name: r for r in spark.read.parquet(f"{path}/about").collect()}  # a row for each table
     read = {name: _read(spark, path, name, about[name].buckets, about[name].columns) for name in KEYS}
     ranks = {int(name): bytes(r.ranks) for name, r in about.items() if r.ranks is not None}
-    blocks = IndexBlocks(read["plain"], read["heavy"], read["split"], read["groups"], read["hubs"], ranks)
+    blocks = IndexBlocks(read["plain"], read["heavy"], read["split"], read["groups"], read["hubs"], ranks, read["contents"])
     return Prepared(read["records"], read["rows"], read["contents"], blocks)
 
 
