@@ -55,7 +55,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     del df
     release(spark)
     return spark.read.schema(schema).parquet(path)
