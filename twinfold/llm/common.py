@@ -175,12 +175,17 @@ class Rolling:
 
 
 def batches(rows: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of Arrow batches with about ``size`` bytes each."""
+    """Slices of Arrow batches with about ``size`` bytes each.
+
+    What a batch took goes back to the system after it. Else each worker, idle ones too, holds the most it ever had.
+    """
     for batch in rows:
         n = batch.num_rows
         step = n if batch.nbytes <= size else max(1, n * size // batch.nbytes)
         for i in range(0, n, max(1, step)):
             yield batch.slice(i, step)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def numbered(df: DataFrame, *order) -> DataFrame:

@@ -114,18 +114,21 @@ class Model:
         """Whether no piece goes on beyond the mark of a next word."""
         return not any(MARK in p.lstrip(MARK) for p, _, kind in self.pieces if kind in (NORMAL, USER))
 
-    def tokenizer(self) -> Tokenizer:
+    @functools.cached_property
+    def core(self) -> models.Model:
+        """The pieces with their merges or scores. All tokenizers share it, and it keeps no words: the codec does."""
         names = [p for p, _, _ in self.pieces]
         if self.kind == BPE:
             vocab = {p: i for i, p in enumerate(names)}
-            model = models.BPE(
+            return models.BPE(
                 vocab, self.merges(), unk_token=names[self.unknown], fuse_unk=True, byte_fallback=self.byte_fallback,
-                cache_capacity=100_000,
+                cache_capacity=0,
             )
-        else:
-            scores = [(p, s) for p, s, _ in self.pieces]
-            model = models.Unigram(scores, unk_id=self.unknown, byte_fallback=self.byte_fallback)
-        out = Tokenizer(model)
+        scores = [(p, s) for p, s, _ in self.pieces]
+        return models.Unigram(scores, unk_id=self.unknown, byte_fallback=self.byte_fallback)
+
+    def tokenizer(self) -> Tokenizer:
+        out = Tokenizer(self.core)
         steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
         if self.trim:
             steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
@@ -147,7 +150,7 @@ class Model:
 class Codec:
     """Encoder and decoder of batches. Words seen lately are looked up; two generations of at most ``CACHE`` are kept."""
 
-    CACHE = 200_000
+    CACHE = 100_000
     JOINED = 500
 
     def __init__(self, data: bytes):
@@ -227,7 +230,7 @@ def _loaded(data: bytes):
 def _encode(data: bytes, one_in: int, with_text: bool):
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, library = _loaded(data)
-        for batch in batches(rows, 2 << 20):
+        for batch in batches(rows, 512 << 10):
             texts = [t.decode() for t in batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
             ids = codec.encode(texts)
             back = [codec.decode(x) for x in ids]
