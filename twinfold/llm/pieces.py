@@ -150,7 +150,7 @@ class Model:
 class Codec:
     """Encoder and decoder of batches. Words seen lately are looked up; two generations of at most ``CACHE`` are kept."""
 
-    CACHE = 100_000
+    CACHE = 200_000
     JOINED = 500
 
     def __init__(self, data: bytes):
@@ -230,7 +230,7 @@ def _loaded(data: bytes):
 def _encode(data: bytes, one_in: int, with_text: bool):
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, library = _loaded(data)
-        for batch in batches(rows, 512 << 10):
+        for batch in batches(rows, 2 << 20):
             texts = [t.decode() for t in batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
             ids = codec.encode(texts)
             back = [codec.decode(x) for x in ids]
