@@ -11,17 +11,17 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from twinfold.llm.common import batches, pick
+from twinfold.llm.common import Bytes, batches, pick
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
@@ -31,55 +31,128 @@ BLOCK = 1 << 22
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
+_LETTER, _DIGIT, _SPACE, _OTHER, _WIDE = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[128:] = _WIDE
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[*range(9, 14), 32]] = _SPACE
+# Fixed value: white space outside ASCII
+_WIDE_SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Kind of each byte; all bytes of a white space are one."""
+    kinds = _KIND[data]
+    for lead in {s[0] for s in _WIDE_SPACES}:
+        if len(at := np.nonzero(data == lead)[0]):
+            for space in (s for s in _WIDE_SPACES if s[0] == lead):
+                found = at[at + len(space) <= len(data)]
+                for i, byte in enumerate(space[1:], 1):
+                    found = found[data[found + i] == byte]
+                for i in range(len(space)):
+                    kinds[found + i] = _SPACE
+    return kinds
+
+
+def units(texts: Bytes) -> np.ndarray:
+    """Where texts can be cut so that the ids of what lies between two cuts do not depend on the rest, ends included.
+
+    ``SPLIT`` always cuts where white space begins and before the last white space of a run that a text goes on after;
+    after that one too unless it is a space, which goes with what follows. Between two bytes of ASCII it cuts where
+    letters, digits and others change, but after an apostrophe.
+    """
+    data, edge = texts.data, np.zeros(len(texts.data) + 1, bool)
+    edge[texts.starts], edge[-1] = True, True
+    if not len(data):
+        return np.nonzero(edge)[0]
+    kinds = _kinds(data)
+    left, right = kinds[:-1], kinds[1:]
+    change = np.nonzero(left != right)[0] + 1
+    of, to = kinds[change - 1], kinds[change]
+    apart = (of != _WIDE) & (to != _WIDE) & (of != _SPACE) & (data[change - 1] != 39) | (to == _SPACE)
+    cuts = np.zeros(len(data) + 1, bool)
+    cuts[change[apart]] = True
+    ends = np.nonzero((kinds == _SPACE) & np.append(right != _SPACE, False) & ~edge[1:])[0] + 1
+    last = np.where(data[ends - 1] < 128, ends - 1, np.where(data[ends - 2] == 0xC2, ends - 2, ends - 3))
+    cuts[last] = True
+    cuts[ends[data[ends - 1] != 32]] = True
+    return np.nonzero(cuts | edge)[0]
+
+
+def _runs(heads: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of runs that begin at ``heads``, one after another, and where each one ends among these."""
+    ends = np.cumsum(sizes)
+    return np.repeat(heads - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0), ends
+
+
 class Tokens:
-    """Ids of texts. Where white space stands alone, a text is cut before it, and pieces seen lately are looked up;
-    two generations of at most ``CACHE`` are kept."""
+    """Ids of texts. Texts are cut into units, and those seen lately are looked up: up to ``CACHE`` or, if it has more,
+    those of the last call, none above ``LONG`` bytes."""
 
     CACHE = 200_000
     JOINED = 500
-    _PAIR = re.compile(r"\s\s")
+    LONG = 100
 
     def __init__(self, ranks: bytes):
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.model = tiktoken.Encoding(
             "packing", pat_str=SPLIT, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}
         )
-        self.first = np.array([self.model.decode_single_token_bytes(i)[:1] == b" " for i in range(self.model.n_vocab)])
-        self.seen: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        """Have the ids of all these words, each with a space before it, among those seen."""
-        seen, older, new = self.seen, self.older, []
-        for word in words:
-            if word not in seen:
-                if word in older:
-                    seen[word] = older[word]
-                elif word.isalpha():
-                    new.append(word)
-                else:
-                    seen[word] = self._whole(" " + word)
-        # only the first id of a word begins with a space, so many words can be read at once
-        for i in range(0, len(new), self.JOINED):
-            group = new[i : i + self.JOINED]
-            ids = np.array(self.model.encode_ordinary(" " + " ".join(group)), "<u2")
-            cuts, raw = [*np.nonzero(self.first[ids])[0].tolist(), len(ids)], ids.tobytes()
-            for word, a, b in zip(group, cuts, cuts[1:]):
-                seen[word] = raw[2 * a : 2 * b]
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.model.encode_ordinary(text), "<u2").tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.seen) > self.CACHE:
-            self.seen, self.older = {}, self.seen
-        split = [None if self._PAIR.search(t) else t.split(" ") for t in texts]
-        self._learn(set().union(*(s[1:] for s in split if s)))
-        get, out = self.seen.__getitem__, []
-        for text, pieces in zip(texts, split):
-            raw = self._whole(text) if pieces is None else self._whole(pieces[0]) + b"".join(map(get, pieces[1:]))
-            out.append(np.frombuffer(raw, "<u2"))
-        return out
+        (self.line,) = self.model.encode_ordinary("\n")
+        # units, and the number and the sequence of their ids
+        self.seen = pa.array([], pa.large_binary()), np.empty(0, np.int64), np.empty(0, "<u2")
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.model.encode_ordinary(text.decode()), "<u2")
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of distinct units, and these ids."""
+        flat = Bytes(new)
+        blank = _kinds(flat.data)[flat.ends - 1] == _SPACE  # of white space alone, as no other unit ends with it
+        rest = Bytes(new.filter(pa.array(~blank)))
+        # a line end after a unit is an id of its own, which no unit but white space has
+        stops = rest.ends + np.arange(1, len(rest) + 1)
+        lines = np.full(len(rest.data) + len(rest), 10, np.uint8)
+        lines[_runs(stops - 1 - (rest.ends - rest.starts), rest.ends - rest.starts)[0]] = rest.data
+        edges = [0, *stops[self.JOINED - 1 :: self.JOINED].tolist(), len(lines)]
+        ids = np.concatenate([self._whole(lines[i:j].tobytes()) for i, j in zip(edges, edges[1:])])
+        apart = [self._whole(flat.text(i)) for i in np.nonzero(blank)[0].tolist()]
+        sizes = np.empty(len(new), np.int64)
+        sizes[blank] = [len(a) for a in apart]
+        sizes[~blank] = np.diff(np.nonzero(ids == self.line)[0], prepend=-1) - 1
+        out, heads = np.empty(sizes.sum(), "<u2"), np.cumsum(sizes) - sizes
+        for which, values in ((blank, np.concatenate([ids[:0], *apart])), (~blank, ids[ids != self.line])):
+            out[_runs(heads[which], sizes[which])[0]] = values
+        return sizes, out
+
+    def _known(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct units where their ids begin, how many they are, and the sequence that holds them."""
+        seen, sizes, ids = self.seen
+        at = pc.index_in(found, value_set=seen)
+        new = found.filter(at.is_null())
+        where = at.fill_null(0).to_numpy().astype(np.int64)
+        where[at.is_null().to_numpy(zero_copy_only=False)] = len(seen) + np.arange(len(new))
+        more, new_ids = self._learn(new)
+        sizes, ids = np.append(sizes, more), np.append(ids, new_ids)
+        heads = np.cumsum(sizes) - sizes
+        units = pa.concat_arrays([seen, new])
+        keep = np.arange(len(units)) if len(units) <= self.CACHE else where
+        keep = keep[pc.binary_length(units).to_numpy()[keep] <= self.LONG]
+        self.seen = units.take(pa.array(keep)), sizes[keep], ids[_runs(heads[keep], sizes[keep])[0]]
+        return heads[where], sizes[where], ids
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = Bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        cuts = units(texts)
+        buffers = [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(texts.data)]
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, buffers).dictionary_encode()
+        heads, sizes, ids = self._known(coded.dictionary)
+        code = coded.indices.to_numpy()
+        at, ends = _runs(heads[code], sizes[code])
+        ids, before = ids[at], np.append(0, ends)
+        starts, stops = before[np.searchsorted(cuts, texts.starts)], before[np.searchsorted(cuts, texts.ends)]
+        return [ids[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
 
     def decode(self, ids) -> str:
         return self.model.decode([int(i) for i in ids])
@@ -187,8 +260,7 @@ def _pack(ranks: bytes, length: int, limit: int):
 
         block, held = [], 0
         for batch in batches(rows, 2 << 20):
-            texts = [t.decode() for t in batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(texts)):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text"))):
                 ids = np.append(ids, np.uint16(END))
                 for at in range(0, len(ids), length):
                     block.append((doc, at, ids[at : at + length]))
