@@ -7,7 +7,9 @@ address a cell of a table that is cut into square tiles. As small numbers are fr
 those are counted in a dense array of cells, all others by sorting. A frequent pair is an item of the next round, so
 that two overlapping phrases of m words are counted as one of m + 1 words.
 
-No task holds more than a chunk, and no table of words is sent to all tasks.
+Items are dealt into slots by hash. A chunk sends each slot one row with all its items there, moved once: the slot adds
+them up, and answers when the frequent ones have numbers. There are as many slots as ``CHUNKS_A_SLOT`` has it, so no
+task holds more than a chunk or what a few chunks hold, and no table of words is sent to all tasks.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import Bytes, batches, numbered, stage, with_kept
+from twinfold.llm.common import Bytes, Rolling, batches, mixed, numbered, parts, stage, stage_by, with_kept
 
 #: Words of the longest phrase, occurrences of a candidate, phrases returned for a language.
 LONGEST = 5
@@ -29,6 +32,8 @@ TOP = 2000
 #: Bytes of text in a chunk, and numbers along the side of a tile.
 CHUNK = 4 << 20
 SIDE = 512
+#: Chunks whose items a slot gets, if there are not more partitions than that makes slots.
+CHUNKS_A_SLOT = 8
 #: A tile is counted in an array if it has at least one pair for so many cells.
 CELLS_A_PAIR = 8
 #: Parts of a language that are cut to the ``TOP`` best before these meet.
@@ -129,50 +134,166 @@ def tiled(i: np.ndarray, j: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarr
     return (of >> 32) * side + cell // side, (of & 0xFFFFFFFF) * side + cell % side, counts, place
 
 
-def _pairer(side: int):
-    """A chunk with the numbers of its frequent items becomes one whose items are pairs of neighbours."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """Steps between numbers by bytes of like weight, compressed."""
+    steps = np.diff(numbers.astype("<i8"), prepend=0)
+    steps = (steps << 1) ^ (steps >> 63)  # the sign is the last bit
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _opened(column: pa.ChunkedArray, sizes: pa.ChunkedArray) -> list[np.ndarray]:
+    """The numbers of each row of ``_packed`` ones."""
+    out = []
+    for raw, n in zip(column.to_pylist(), sizes.to_pylist()):
+        planes = np.frombuffer(pa.decompress(raw, 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, -1)
+        steps = np.ascontiguousarray(planes.T).view("<u8")[:, 0]
+        out.append(np.cumsum((steps >> np.uint64(1)).astype(np.int64) ^ -(steps & np.uint64(1)).astype(np.int64)))
+    return out
+
+
+def _slots(spread: np.ndarray, slots: int, *order: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Slots and the places of their items."""
+    slot = (mixed(spread) % np.uint64(slots)).astype(np.int64)
+    by_slot = np.lexsort((*order, slot))
+    ends = np.cumsum(np.bincount(slot, minlength=slots)).tolist()
+    return [(i, by_slot[a:b]) for i, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def _word_sender(slots: int):
+    """Chunks of words to a row for each slot that has some of them."""
+
+    def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Rolling(13)
+        for batch in rows:
+            for row in range(batch.num_rows):
+                words, n = batch.column("word")[row].values, batch.column("n")[row].values.to_numpy()
+                flat = Bytes(words)
+                some = _slots(hashes.between(hashes.sums(flat.data), flat.starts, flat.ends), slots) if len(words) else []
+                ends = np.cumsum([0] + [len(at) for _, at in some])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([slot for slot, _ in some], pa.int64()),
+                        pa.array([batch.column("chunk")[row].as_py()] * len(some), pa.int64()),
+                        pa.array([batch.column("lang")[row].as_py()] * len(some), pa.string()),
+                        pa.array([len(at) for _, at in some], pa.int64()),
+                        pa.ListArray.from_arrays(ends, words.take(pa.array(np.concatenate([ends[:0], *[at for _, at in some]])))),
+                        pa.array([_packed(n[at]) for _, at in some], pa.binary()),
+                        pa.array([_packed(at) for _, at in some], pa.binary()),
+                    ],
+                    ["slot", "chunk", "lang", "size", "item", "n", "place"],
+                )
+
+    return send
+
+
+def _items(sent: pa.Table) -> pa.Array:
+    """The items that some chunks sent, one after another: words, or pairs as one number each."""
+    if pa.types.is_list(sent["item"].type):
+        return sent["item"].combine_chunks().flatten()
+    return pa.array(np.concatenate(_opened(sent["item"], sent["size"])))
+
+
+def _langs(sent: pa.Table) -> Iterator[tuple[str, pa.Table]]:
+    for lang in sent["lang"].unique().to_pylist():
+        yield lang, sent.filter(pc.equal(sent["lang"], lang))
+
+
+def _summer(least: int):
+    """What chunks sent to a slot, added up: items with at least ``least`` occurrences (a)."""
+
+    def add(sent: pa.Table) -> pa.Table:
+        out = []
+        for lang, own in _langs(sent):
+            coded = _items(own).dictionary_encode()
+            sums = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(sums, coded.indices.to_numpy(), np.concatenate(_opened(own["n"], own["size"])))
+            often = np.nonzero(sums >= least)[0]
+            item = coded.dictionary.take(pa.array(often))
+            columns = {"slot": [sent["slot"][0].as_py()] * len(often), "lang": [lang] * len(often), "item": item, "a": sums[often]}
+            kind = [("slot", pa.int64()), ("lang", pa.string()), ("item", item.type), ("a", pa.int64())]
+            out.append(pa.table(columns, schema=pa.schema(kind)))
+        return pa.concat_tables(out)
+
+    return add
+
+
+def _teller(sent: pa.Table, frequent: pa.Table) -> pa.Table:
+    """The numbers of the frequent items of a slot for each chunk that sent some."""
+    out = {c: [] for c in ("to", "size", "place", "number")}
+    if sent.num_rows and frequent.num_rows:
+        for lang, own in _langs(sent):
+            known = frequent.filter(pc.equal(frequent["lang"], lang))
+            at = pc.index_in(_items(own), value_set=known["item"].combine_chunks()).fill_null(-1).to_numpy()
+            numbers = np.append(known["number"].to_numpy(), -1)[at]
+            begin = 0
+            for chunk, place in zip(own["chunk"].to_pylist(), _opened(own["place"], own["size"])):
+                number = numbers[begin : begin + len(place)]
+                begin += len(place)
+                some = number >= 0
+                if some.any():
+                    row = [chunk, int(some.sum()), _packed(place[some]), _packed(number[some])]
+                    for c, value in zip(out, row):
+                        out[c].append(value)
+    return pa.table(out, schema=pa.schema([("to", pa.int64()), ("size", pa.int64()), ("place", pa.binary()), ("number", pa.binary())]))
+
+
+def _pairer(side: int, slots: int):
+    """A chunk with the numbers of its frequent items becomes one whose items are pairs of neighbours.
+
+    Returns a row without slot that has the sequence, and a row for each slot that has some of the pairs.
+    """
 
     def pair(chunk: pa.Table, told: pa.Table) -> pa.Table:
-        out = {c: [] for c in ("chunk", "lang", "sequence", "left", "right", "n")}
+        out = []
         if chunk.num_rows and told.num_rows:
+            number, lang = chunk["chunk"][0].as_py(), chunk["lang"][0].as_py()
             old = np.frombuffer(chunk["sequence"][0].as_py(), np.int32)
-            places = told["place"].to_numpy()
-            number = np.full(int(max(old.max(initial=-1), places.max())) + 2, -1, np.int64)  # the last one is that of -1
-            number[places] = told["number"].to_numpy()
-            ids = number[old]
+            places = np.concatenate(_opened(told["place"], told["size"]))
+            of = np.full(int(max(old.max(initial=-1), places.max())) + 2, -1, np.int64)  # the last one is that of -1
+            of[places] = np.concatenate(_opened(told["number"], told["size"]))
+            ids = of[old]
             at = np.nonzero((ids[:-1] >= 0) & (ids[1:] >= 0))[0]
             left, right, n, place = tiled(ids[at], ids[at + 1], side)
+            code = (left << 32) | right
+            some = _slots(code.astype(np.uint64), slots, code)
+            order = np.concatenate([at[:0], *[which for _, which in some]])
+            code, n, rank = code[order], n[order], np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))  # pairs of a slot get neighbouring places
+            place = rank[place]
+            ends = np.cumsum([0] + [len(which) for _, which in some])
             new = np.full(len(ids) + 1, -1, np.int32)
             new[at + 1] = place
-            some = new >= 0
-            some[1:-1] &= some[:-2] | some[2:]  # others have no neighbour to pair with
-            new = np.where(some, new, -1)
-            keep = some | np.append(False, some[:-1])
-            row = [chunk["chunk"][0].as_py(), chunk["lang"][0].as_py(), new[keep].tobytes(), left, right, n]
-            for c, value in zip(out, row):
-                out[c].append(value)
-        return pa.table(out, schema=_PAIRS_ARROW)
+            paired = new >= 0
+            paired[1:-1] &= paired[:-2] | paired[2:]  # others have no neighbour to pair with
+            new = np.where(paired, new, -1)
+            keep = paired | np.append(False, paired[:-1])
+            out.append((None, number, lang, new[keep].tobytes(), None, None, None, None))
+            for (slot, which), i, j in zip(some, ends, ends[1:]):
+                out.append((slot, number, lang, None, len(which), _packed(code[i:j]), _packed(n[i:j]), _packed(np.arange(i, j))))
+        return pa.table(list(zip(*out)) or [[] for _ in _PAIRS_ARROW], schema=_PAIRS_ARROW)
 
     return pair
 
 
-_PAIRS = "chunk long, lang string, sequence binary, left array<long>, right array<long>, n array<long>"
-_LONGS = pa.list_(pa.int64())
+_SENT = "slot long, chunk long, lang string, size long, item {}, n binary, place binary"
+_PAIRS = "slot long, chunk long, lang string, sequence binary, size long, item binary, n binary, place binary"
 _PAIRS_ARROW = pa.schema(
-    [("chunk", pa.int64()), ("lang", pa.string()), ("sequence", pa.binary())] + [(c, _LONGS) for c in ("left", "right", "n")]
+    [("slot", pa.int64()), ("chunk", pa.int64()), ("lang", pa.string()), ("sequence", pa.binary()), ("size", pa.int64())]
+    + [(c, pa.binary()) for c in ("item", "n", "place")]
 )
 
 
-def _items(chunks: DataFrame, *names: str) -> DataFrame:
-    """A row for each item of each chunk."""
-    rows = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip(*names, "n")).alias("place", "item"))
-    return rows.select("chunk", "lang", "place", *[F.col("item")[c].alias(c) for c in (*names, "n")])
+def _frequent(sent: DataFrame, kind: str, least: int) -> DataFrame:
+    """Items with at least ``least`` occurrences (a), numbered by language and frequency; words and pairs by themselves."""
+    sums = sent.groupBy("slot").applyInArrow(_summer(least), f"slot long, lang string, item {kind}, a long")
+    return numbered(sums, "lang", F.desc("a"), "item")
 
 
-def _frequent(items: DataFrame, names: list[str], least: int) -> DataFrame:
-    """Items with at least ``least`` occurrences (a), numbered by language and frequency."""
-    sums = items.groupBy("lang", *names).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    return numbered(sums, "lang", F.desc("a"), *names)
+def _told(sent: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Rows for chunks (to) with the places and the numbers of frequent items."""
+    asked = sent.groupBy("slot").cogroup(frequent.select("slot", "lang", "item", "number").groupBy("slot"))
+    return asked.applyInArrow(_teller, "to long, size long, place binary, number binary")
 
 
 def _score(words: int) -> Column:
@@ -214,21 +335,22 @@ def mine_phrases(
     chunks = stage(rows.mapInArrow(_reader(chunk), kind), "words")
     added = F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y)
     total = stage(chunks.groupBy("lang").agg(F.sum(added).alias("n")), "total")
-    items, names = _items(chunks, "word"), ["word"]
-    known = stage(_frequent(items, names, least), "frequent").withColumns(
-        {"phrase": F.col("word"), "last": F.col("word"), "heads": F.array("a"), "tails": F.array("a")}
-    )
+    slots = max(parts(docs.sparkSession), -(-chunks.count() // CHUNKS_A_SLOT))
+    words = chunks.select("chunk", "lang", "word", "n").mapInArrow(_word_sender(slots), _SENT.format("array<string>"))
+    sent = stage_by(words, "slot", "sent")
+    found = stage(_frequent(sent, "string", least), "frequent")
+    known = found.withColumns({"phrase": F.col("item"), "last": F.col("item"), "heads": F.array("a"), "tails": F.array("a")})
     levels: list[DataFrame] = []
     for words in range(2, longest + 1):
-        told = items.join(known.select("lang", *names, "number"), ["lang", *names])
-        told = told.select(F.col("chunk").alias("to"), "place", "number")
-        paired = chunks.select("chunk", "lang", "sequence").groupBy("chunk").cogroup(told.groupBy("to"))
-        chunks = stage(paired.applyInArrow(_pairer(side), _PAIRS), "pairs")
-        items, names = _items(chunks, "left", "right"), ["left", "right"]
-        found = stage(_frequent(items, names, least), "frequent")
+        paired = chunks.select("chunk", "lang", "sequence").groupBy("chunk").cogroup(_told(sent, found).groupBy("to"))
+        pairs = stage(paired.applyInArrow(_pairer(side, slots), _PAIRS), "pairs")
+        chunks = pairs.filter("slot is null")
+        sent = stage_by(pairs.filter("slot is not null").drop("sequence"), "slot", "sent")
+        found = stage(_frequent(sent, "long", least), "frequent")
         first = known.select(F.col("number").alias("left"), F.col("phrase").alias("begin"), F.col("heads").alias("heads_"))
         second = known.select(F.col("number").alias("right"), "last", F.col("tails").alias("tails_"))
-        known = found.join(first, "left").join(second, "right").select(
+        two = found.withColumns({"left": F.shiftright("item", 32), "right": F.col("item").bitwiseAND(0xFFFFFFFF)})
+        known = two.join(first, "left").join(second, "right").select(
             "lang",
             "number",
             "left",
