@@ -19,7 +19,7 @@ from twinfold.session import stage
 TOP = 10
 STEP = 256
 TEXTS = 256
-RECORDS = 20_000
+RECORDS = 2_000
 
 
 def similar_field_topk(
@@ -76,7 +76,10 @@ def similar_field_topk(
         return pd.concat(kept)[shape] if kept else pd.DataFrame(columns=shape)
 
     kind = asked.schema["query"].dataType.simpleString()
-    near = left.groupBy("part", "slice").cogroup(right.groupBy("part", "slice"))
+    # a part costs far more than its bytes: tasks stay many
+    tasks = 4 * int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (side.repartition(tasks, "part", "slice").groupBy("part", "slice") for side in (left, right))
+    near = left.cogroup(right)
     near = near.applyInPandas(best, f"query {kind}, similarity double, key string, value string")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("similarity"), "key"))
     return (
